@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import repetition as rep
-from corpusloom.llm import splitting, survivors, tokens
+from corpusloom.llm import languages, splitting, survivors, tokens, truncation
 from corpusloom.llm.bpe import DEFAULT_DIR
 from corpusloom.tables import table
 
@@ -16,6 +16,30 @@ from corpusloom.tables import table
 VOCABULARIES = os.environ.get("CORPUSLOOM_TOKENIZERS", DEFAULT_DIR)
 
 
+def _languages(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.identify(table(spark, folder, "selection"), "sample_id", "text", "language", table(spark, folder, "language_samples"), table(spark, folder, "language_aliases"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.label_issues(_languages(spark, folder), "sample_id")
+
+
+def p2_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return _languages(spark, folder).select("sample_id", "segment_no", "language", "confidence").distinct()
+
+
+def _truncated(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.truncated(table(spark, folder, "qwen_asr"), table(spark, folder, "selection"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _truncated(spark, folder).where("cut").select("sample_id").distinct()
+
+
+def p3_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.truncation_rates(_truncated(spark, folder))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     samples = survivors.sample_survivors(table(spark, folder, "selection"), table(spark, folder, "datasets"))
     candidates = survivors.candidate_survivors(table(spark, folder, "ids"))
@@ -57,7 +81,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("piece_no = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_records, p6_found, p6_shares, p6_divergence, p7_ids, p8_containers, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_languages, p3_found, p3_rates, p5_found, p5_records, p6_found, p6_shares, p6_divergence, p7_ids, p8_containers, p9_found, p9_pieces)}
 ORACLE: dict[str, str] = {
     "p5_found": r"""
 WITH s AS (
