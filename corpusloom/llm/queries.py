@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import repetition as rep
-from corpusloom.llm import languages, splitting, survivors, tokens, truncation
+from corpusloom.llm import languages, leakage, splitting, survivors, tokens, truncation
 from corpusloom.llm.bpe import DEFAULT_DIR
 from corpusloom.tables import table
 
@@ -40,6 +40,15 @@ def p3_rates(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.truncation_rates(_truncated(spark, folder))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = leakage.overlaps(table(spark, folder, "selection"))
+    return found.select(F.least("t_sample", "e_sample").alias("sample_id_a"), F.greatest("t_sample", "e_sample").alias("sample_id_b")).distinct()
+
+
+def p4_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.overlap_counts(leakage.overlaps(table(spark, folder, "selection")))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     samples = survivors.sample_survivors(table(spark, folder, "selection"), table(spark, folder, "datasets"))
     candidates = survivors.candidate_survivors(table(spark, folder, "ids"))
@@ -81,7 +90,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("piece_no = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_languages, p3_found, p3_rates, p5_found, p5_records, p6_found, p6_shares, p6_divergence, p7_ids, p8_containers, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_languages, p3_found, p3_rates, p4_found, p4_counts, p5_found, p5_records, p6_found, p6_shares, p6_divergence, p7_ids, p8_containers, p9_found, p9_pieces)}
 ORACLE: dict[str, str] = {
     "p5_found": r"""
 WITH s AS (
