@@ -1 +1,235 @@
-ORACLE: dict[str, str] = {}
+"""Standard SQL for the registered queries of the core, to be run by another engine on the same tables."""
+
+from __future__ import annotations
+
+import json
+
+from corpusloom.functions.text import LANGUAGE_NAMES
+from corpusloom.plans.rules import BIT, FLAGS, REASONS
+from corpusloom.plans.selection import DOCUMENT
+
+_RULES = json.loads(DOCUMENT)
+#: White space at both ends, of any kind.
+_WS = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+def _digest(c: str) -> str:
+    h = rf"regexp_replace(lower({c}), '^\s*sha256:|\s', '', 'g')"
+    return f"CASE WHEN length({h}) = 64 AND NOT regexp_matches({h}, '^0+$') AND regexp_matches({h}, '^[0-9a-f]+$') THEN {h} END"
+
+
+def _list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _letters(c: str) -> str:
+    return rf"regexp_replace(nfc_normalize({c}), '[^\p{{L}}\p{{N}}]', '', 'g')"
+
+
+_ALIAS = "CASE language " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _RULES["language_aliases"].items()) + " ELSE language END"
+BASE = f"""base AS (
+  SELECT * EXCLUDE (audio_sha256, landed_at), coalesce({_digest('audio_sha256')}, '') AS audio_sha256
+  FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY landed_at) AS delivery FROM selection) WHERE delivery = 1
+)"""
+_BOUNDS = _RULES["seconds_per_character"]
+_DENSE = f"coalesce(sl IN ({_list(_RULES['dense_languages'])}), false)"
+_HITS = [
+    ("audio_sha256 = ''", "101", "audio_issue"),
+    ("st = '' OR length(ec) < 3", "1001", "missing_text"),
+    (f"NOT coalesce(sl IN ({_list(_RULES['supported_languages'])}), false)", "CASE WHEN coalesce(sl, '') <> '' THEN 2002 ELSE 2001 END", "language_policy"),
+    (r"translate(st, '<>{}[]^\', '') <> st", "1007", "text_policy"),
+    (f"length(ec) > 0 AND duration_seconds / nullif(length(ec), 0) < CASE WHEN {_DENSE} THEN {_BOUNDS['dense'][0]} ELSE {_BOUNDS['other'][0]} END", "1005", "text_policy"),
+    (f"length(ec) > 0 AND duration_seconds / nullif(length(ec), 0) > CASE WHEN {_DENSE} THEN {_BOUNDS['dense'][1]} ELSE {_BOUNDS['other'][1]} END", "1006", "text_policy"),
+    ("CASE WHEN json_valid(metadata_json) THEN json_extract_string(metadata_json, '$.original_split_group') IN ('dev', 'test') ELSE false END", "7001", "held_out"),
+    ("dataset_id = 'podwild_yard' AND sample_rate < 24000", "3003", "sample_rate_policy"),
+    ("duration_seconds < 1.0", "3001", "duration_policy"),
+    ("duration_seconds > 30.0", "3002", "duration_policy"),
+]
+_CODES = "list_filter([" + ", ".join(f"CASE WHEN coalesce({p}, false) THEN {c} END" for p, c, _ in _HITS) + "], lambda x: x IS NOT NULL)"
+_FLAGS = " | ".join(f"CASE WHEN coalesce({p}, false) THEN {BIT[f]} ELSE 0 END" for p, _, f in _HITS)
+DECIDED = f"""{BASE}, shaped AS (SELECT *, {_ALIAS} AS sl, coalesce({_strip('text')}, '') AS st FROM base),
+counted AS (SELECT *, {_letters('st')} AS ec FROM shaped),
+decided AS (
+  SELECT *, sl AS selected_language, st AS selected_text, coalesce(list_filter({_RULES['reason_priority']}, lambda p: list_contains({_CODES}, p))[1], 0) AS reason, {_FLAGS} AS flags FROM counted
+)"""
+_RANK = "CASE dataset_id " + " ".join(f"WHEN '{n}' THEN {k}" for k, n in enumerate(_RULES["source_priority"])) + f" ELSE {1 << 20} END"
+GROUPS = f"""groups AS (
+  SELECT audio_sha256, count(*) AS members, count(*) FILTER (reason = 0) AS eligible,
+    coalesce(count(DISTINCT selected_text) FILTER (reason = 0) > 1 OR count(DISTINCT coalesce(selected_language, '')) FILTER (reason = 0) > 1, false) AS conflict,
+    bool_or(reason = 7001) AS held, arg_min(sample_id, ({_RANK}, sample_id)) FILTER (reason = 0) AS winner
+  FROM decided WHERE audio_sha256 <> '' GROUP BY audio_sha256 HAVING count(*) > 1
+), resolved AS (
+  SELECT d.* EXCLUDE (reason, flags), g.members, g.winner, g.held,
+    CASE WHEN g.members IS NULL OR reason <> 0 THEN reason WHEN held THEN 7001 WHEN conflict THEN 4002 WHEN winner <> sample_id THEN 4001 ELSE 0 END AS reason,
+    flags | CASE WHEN g.members IS NULL THEN 0 ELSE {BIT['duplicate_member']} END | CASE WHEN conflict THEN {BIT['duplicate_conflict']} ELSE 0 END
+      | CASE WHEN g.members IS NOT NULL AND reason = 0 AND held THEN {BIT['held_out']} ELSE 0 END AS flags
+  FROM decided d LEFT JOIN groups g USING (audio_sha256)
+)"""
+
+
+def _latest(table: str, name: str) -> str:
+    """The last good row of each sample, else its last one; ties by the other columns don't occur but for equal rows."""
+    return f"{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY (status = 'ok') DESC, finished_at DESC) AS k FROM {table} WHERE sample_id IS NOT NULL) WHERE k = 1)"
+
+
+ASR = _latest("qwen_asr", "asr")
+TURNS = _latest("speaker_structure", "diarised")
+WITH_ASR = f"{BASE}, {ASR}, both_texts AS (SELECT b.*, a.text AS asr_text, a.language AS asr_language FROM base b JOIN asr a USING (sample_id) WHERE a.status = 'ok')"
+_NAME = "CASE language " + " ".join(f"WHEN '{n}' THEN '{c}'" for n, c in LANGUAGE_NAMES.items()) + " END"
+_IV = """iv AS (SELECT sample_id, t.speaker AS speaker, t.start_sample AS a, t.end_sample AS b FROM (SELECT sample_id, unnest(result.turns) AS t FROM diarised WHERE status = 'ok')
+  WHERE t.start_sample >= 0 AND t.start_sample < t.end_sample AND t.speaker IS NOT NULL)"""
+_MERGE = """flagged AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY {k} ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM {src}),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY {k} ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS n FROM flagged),
+merged AS (SELECT {k}, n, min(a) AS a, max(b) AS b FROM numbered GROUP BY ALL)"""
+_OVER = """own AS (SELECT sample_id, speaker, min(a) AS a, max(b) AS b FROM (
+  SELECT *, sum(f) OVER (PARTITION BY sample_id, speaker ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS n FROM (
+    SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY sample_id, speaker ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS f FROM iv)) GROUP BY sample_id, speaker, n),
+crossed AS (SELECT DISTINCT x.sample_id, greatest(x.a, y.a) AS a, least(x.b, y.b) AS b FROM own x JOIN own y ON x.sample_id = y.sample_id AND x.speaker < y.speaker AND x.a < y.b AND y.a < x.b)"""
+_FLAT = "SELECT vec_id, unnest(embedding) AS v, unnest(range(len(embedding))) AS pos FROM embeddings"
+_CEIL24 = "((num_frames * 24000 + sample_rate - 1) // sample_rate)"
+
+ORACLE: dict[str, str] = {
+    "p1_found": """
+WITH raw AS (
+  SELECT 'segment' AS entity_kind, parent_sample_id AS entity_id, '' AS speaker, segment_start_frame AS a, segment_end_frame AS b
+  FROM selection WHERE parent_sample_id IS NOT NULL
+  UNION ALL
+  SELECT 'turn', sample_id, t.speaker, t.start_sample, t.end_sample
+  FROM (SELECT sample_id, unnest(result.turns) AS t FROM speaker_structure WHERE status = 'ok')
+), iv AS (SELECT * FROM raw WHERE a >= 0 AND a < b),
+flag AS (
+  SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY entity_kind, entity_id, speaker ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM iv
+), numbered AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY entity_kind, entity_id, speaker ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM flag
+), period AS (
+  SELECT entity_kind, entity_id, speaker, k, min(a) AS s, max(b) AS e FROM numbered GROUP BY ALL
+), nxt AS (SELECT *, lead(s) OVER (PARTITION BY entity_kind, entity_id, speaker ORDER BY s) AS n FROM period)
+SELECT entity_kind, entity_id, speaker, 'period' AS span_kind, s AS start_frame, e AS end_frame FROM nxt
+UNION ALL
+SELECT entity_kind, entity_id, speaker, 'gap', e, n FROM nxt WHERE n IS NOT NULL
+""",
+    "interval_union": f"""WITH {TURNS}, all_iv AS (SELECT sample_id, t.start_sample AS a, t.end_sample AS b FROM (SELECT sample_id, unnest(result.turns) AS t FROM diarised WHERE status = 'ok') WHERE t.start_sample < t.end_sample),
+{_MERGE.format(k='sample_id', src='all_iv')}
+SELECT sample_id, coalesce(union_frames, 0) AS union_frames, coalesce(periods, 0) AS periods FROM (SELECT sample_id FROM diarised WHERE status = 'ok')
+LEFT JOIN (SELECT sample_id, sum(b - a)::BIGINT AS union_frames, count(*)::INT AS periods FROM merged GROUP BY sample_id) USING (sample_id)""",
+    "interval_overlaps": f"""WITH {TURNS}, {_IV}, {_OVER}, {_MERGE.format(k='sample_id', src='crossed')} SELECT sample_id, a AS overlap_start, b AS overlap_end FROM merged""",
+    "speaker_structure_measures": f"""WITH {TURNS}, {_IV}, {_OVER}, {_MERGE.format(k='sample_id', src='crossed')},
+over_len AS (SELECT sample_id, sum(b - a) AS o FROM merged GROUP BY sample_id),
+by_speaker AS (SELECT sample_id, speaker, sum(b - a) AS n FROM own GROUP BY ALL),
+u AS (SELECT sample_id, sum(b - a) AS n FROM (SELECT sample_id, min(a) AS a, max(b) AS b FROM (SELECT *, sum(f) OVER (PARTITION BY sample_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM (
+  SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY sample_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS f FROM iv)) GROUP BY sample_id, g) GROUP BY sample_id)
+SELECT d.sample_id, coalesce((SELECT count(*) FROM by_speaker s WHERE s.sample_id = d.sample_id), 0)::INT AS speaker_count, coalesce(u.n, 0)::BIGINT AS turn_union_samples, coalesce(o.o, 0)::BIGINT AS overlap_samples,
+  round(coalesce(o.o, 0)::DOUBLE / nullif(d.result.num_frames, 0), 9) AS overlap_ratio, round((SELECT max(n) FROM by_speaker s WHERE s.sample_id = d.sample_id)::DOUBLE / nullif(u.n, 0), 9) AS dominant_speaker_ratio
+FROM diarised d LEFT JOIN u USING (sample_id) LEFT JOIN over_len o USING (sample_id) WHERE d.status = 'ok'""",
+    "runs_of_mask": f"WITH f AS ({_FLAT}), g AS (SELECT vec_id, pos, pos - row_number() OVER (PARTITION BY vec_id ORDER BY pos) AS k FROM f WHERE v > 0) SELECT vec_id, min(pos)::INT AS run_start, (max(pos) + 1)::INT AS run_end FROM g GROUP BY vec_id, k",
+    "rule_engine_decisions": f"WITH {DECIDED} SELECT sample_id, selected_language, reason, flags FROM decided",
+    "reason_histogram": f"WITH {DECIDED} SELECT dataset_id, reason, count(*) AS n_rows, round(sum(duration_seconds), 3) AS seconds FROM decided GROUP BY ALL",
+    "flag_bit_counts": f"WITH {DECIDED} " + " UNION ALL ".join(f"SELECT '{n}' AS flag, count(*) FILTER (flags & {1 << k} <> 0) AS n_rows FROM decided" for k, n in enumerate(FLAGS)),
+    "selected_rows": f"WITH {DECIDED}, {GROUPS} SELECT dataset_id, selected_language, count(*) AS n_rows, round(sum(duration_seconds), 3) AS seconds FROM resolved WHERE reason = 0 GROUP BY ALL",
+    "sparse_override": f"WITH {WITH_ASR} SELECT sample_id, coalesce({_strip('asr_text')}, '') AS selected_text FROM both_texts WHERE coalesce({_strip('asr_text')}, '') IS DISTINCT FROM text",
+    "revision_as_text": rf"WITH {BASE}, {ASR} SELECT sample_id, CASE WHEN a.status <> 'ok' THEN NULL WHEN regexp_matches(a.text, '\S') THEN a.text ELSE b.text END AS revised_text FROM base b JOIN asr a USING (sample_id)",
+    "alias_language": "SELECT a.language AS code, count(*) AS n_rows FROM selection s LEFT JOIN language_aliases a ON replace(lower(trim(s.language)), '-', '_') = replace(lower(trim(a.alias)), '-', '_') GROUP BY a.language",
+    "density_bounds": f"WITH {BASE}, c AS (SELECT *, length({_letters('text')}) AS chars FROM base) SELECT sample_id, chars, CASE WHEN duration_seconds / chars < 0.015 THEN 1005 WHEN duration_seconds / chars > 0.75 THEN 1006 ELSE 0 END AS reason FROM c WHERE chars > 0",
+    "markup_flag": r"SELECT dataset_id, count(*) FILTER (translate(text, '<>{}[]^\', '') <> text) AS marked, count(text) AS texts FROM selection GROUP BY dataset_id",
+    "known_exclusions": f"WITH {BASE} SELECT dataset_id, count(*) AS n_rows FROM base WHERE num_frames = 1 OR duration_seconds > 30 GROUP BY dataset_id",
+    "reason_dictionary": "SELECT * FROM (VALUES " + ", ".join(f"({k}, '{v}')" for k, v in [*REASONS.items(), *((1 << k, n) for k, n in enumerate(FLAGS))]) + ") AS t(code, name)",
+    "timeline_checks": f"""WITH {BASE} SELECT * FROM (
+SELECT 'bad_rate' AS item, count(*) AS n FROM base WHERE NOT coalesce(sample_rate > 0, false) UNION ALL
+SELECT 'bad_frames', count(*) FROM base WHERE NOT coalesce(num_frames > 0, false) UNION ALL
+SELECT 'bad_duration', count(*) FROM base WHERE NOT coalesce(duration_seconds > 0 AND duration_seconds < 'inf'::DOUBLE, false) UNION ALL
+SELECT 'duration_disagrees', count(*) FROM base WHERE abs(duration_seconds - num_frames / nullif(sample_rate, 0)) > 1e-9 UNION ALL
+SELECT 'bad_segment', count(*) FROM base WHERE segment_start_frame < 0 OR segment_start_frame >= segment_end_frame UNION ALL
+SELECT 'derived_view', count(*) FROM base WHERE parent_sample_id IS NOT NULL) WHERE n > 0""",
+    "speaker_count_outcomes": f"WITH {TURNS} SELECT CASE WHEN status <> 'ok' OR result.speaker_count IS NULL THEN 'unavailable' WHEN result.speaker_count = 1 THEN 'passed' ELSE 'count_' || least(result.speaker_count, 4) END AS outcome, count(*) AS n_rows FROM diarised GROUP BY 1",
+    "primary_reason_order": f"WITH {BASE} SELECT sample_id, CASE WHEN text IS NULL THEN 1001 WHEN duration_seconds > 10 THEN 3002 ELSE 0 END AS reason FROM base",
+    "exact_dup_groups": f"WITH {DECIDED}, {GROUPS} SELECT audio_sha256, members, eligible, conflict, winner FROM groups",
+    "dup_members_with_winner": f"WITH {DECIDED}, {GROUPS} SELECT sample_id, audio_sha256, reason, flags, winner FROM resolved WHERE members IS NOT NULL",
+    "held_out_propagation": f"WITH {DECIDED}, {GROUPS} SELECT dataset_id, count(*) AS n_rows FROM resolved WHERE members IS NOT NULL AND reason = 7001 GROUP BY dataset_id",
+    "closed_reference_pool": rf"""WITH {DECIDED}, k AS (SELECT *, regexp_replace(lower(selected_text), '[^\p{{L}}\p{{N}}]', '', 'g') AS utterance FROM decided),
+pool AS (SELECT speaker_id AS s, count(DISTINCT utterance) FILTER (reason = 0 AND duration_seconds >= 3.0) AS n FROM k GROUP BY speaker_id)
+SELECT sample_id, CASE WHEN reason = 0 AND n < 2 THEN 5002 ELSE reason END AS reason, CASE WHEN reason = 0 AND n < 2 THEN flags | {BIT['reference_policy']} ELSE flags END AS flags FROM k JOIN pool ON k.speaker_id IS NOT DISTINCT FROM pool.s""",
+    "priority_upsert_dedup": """WITH o AS (SELECT short_id, archive, row_number, min(semantic_hash) AS h0, max(semantic_hash) AS h1, min(priority) AS priority, max(nullif(trim(error), '')) AS error FROM ids GROUP BY 1, 2, 3)
+SELECT short_id, count(*) AS candidates, count(*) FILTER (error IS NULL) AS valid, coalesce(min(h0) <> max(h1), false) AS conflict,
+  first(archive ORDER BY error IS NOT NULL, priority NULLS LAST, archive, row_number) AS archive, first(row_number ORDER BY error IS NOT NULL, priority NULLS LAST, archive, row_number) AS row_number,
+  first(error ORDER BY error IS NOT NULL, priority NULLS LAST, archive, row_number) AS error FROM o GROUP BY short_id""",
+    "conservation_counts": """WITH o AS (SELECT short_id, archive, row_number, min(semantic_hash) AS h0, max(semantic_hash) AS h1, max(nullif(trim(error), '')) AS error FROM ids GROUP BY 1, 2, 3),
+w AS (SELECT short_id, count(*) AS c, coalesce(min(h0) <> max(h1), false) AS conflict, count(*) FILTER (error IS NULL) = 0 AS bad FROM o GROUP BY short_id)
+SELECT sum(c)::BIGINT AS candidates, count(*) AS ids, count(*) FILTER (c > 1) AS repeated_ids, count(*) FILTER (conflict) AS conflicts, count(*) FILTER (NOT conflict AND bad) AS invalid, count(*) FILTER (NOT conflict AND NOT bad) AS selected,
+  coalesce(sum(c - 1) FILTER (NOT conflict AND NOT bad), 0)::BIGINT AS redundant, coalesce(sum(c) FILTER (conflict OR bad), 0)::BIGINT AS dropped FROM w""",
+    "repeated_keys_having": "SELECT sample_id, count(*) AS n FROM selection GROUP BY sample_id HAVING count(*) > 1",
+    "identity_audit": """WITH p AS (SELECT sample_id, source_config, count(*) AS n FROM selection GROUP BY 1, 2), k AS (SELECT sample_id, sum(n) AS n, bool_or(n > 1) AS inside FROM p GROUP BY 1)
+SELECT sum(n)::BIGINT AS n_rows, count(*) AS keys, count(*) FILTER (n > 1) AS repeated_keys, sum(n - 1)::BIGINT AS extra_rows, count(*) FILTER (inside) AS repeated_inside FROM k""",
+    "annotation_align_left": f"WITH {BASE}, {ASR} SELECT b.dataset_id, count(*) AS n_rows, count(a.sample_id) AS annotated, count(*) FILTER (a.status = 'ok') AS ok, 0 AS problems FROM base b LEFT JOIN asr a USING (sample_id) GROUP BY 1",
+    "latest_attempts": f"WITH {ASR} SELECT sample_id, status, error_code, finished_at FROM asr",
+    "annotation_structs": f"WITH {BASE}, {ASR} SELECT b.sample_id, a.status, coalesce(a.status <> 'ok', true) AS no_result FROM base b LEFT JOIN asr a USING (sample_id)",
+    "merge_three_tables": f"""WITH {BASE}, {ASR}, {TURNS} SELECT b.sample_id, b.dataset_id, ((b.audio_sha256 IS DISTINCT FROM ({_digest('a.audio_sha256')}))::INT + (b.dataset_id IS DISTINCT FROM a.dataset_id)::INT) AS mismatches,
+length(a.text) AS text_length, d.result.speaker_count AS speaker_count, d.result.num_frames - b.num_frames AS frame_difference
+FROM base b JOIN asr a USING (sample_id) JOIN diarised d USING (sample_id) WHERE a.status = 'ok' AND d.status = 'ok'""",
+    "excluded_reason_counts": f"""WITH {ASR}, {TURNS}, f AS (SELECT 'asr' AS source, sample_id, coalesce(error_code, 'none') AS error_code FROM asr WHERE status IS NULL OR status <> 'ok' UNION ALL SELECT 'turns', sample_id, coalesce(error_code, 'none') FROM diarised WHERE status IS NULL OR status <> 'ok')
+SELECT source, error_code, count(*) AS n_rows FROM f GROUP BY ALL UNION ALL SELECT 'any', 'excluded', count(DISTINCT sample_id) FROM f""",
+    "config_overlap_self_join": "SELECT a.source_config AS group_a, b.source_config AS group_b, count(DISTINCT a.speaker_id) AS n_keys FROM selection a JOIN selection b ON a.speaker_id = b.speaker_id AND a.source_config < b.source_config GROUP BY 1, 2",
+    "reuse_plan": f"""WITH {BASE}, p AS (SELECT b.*, EXISTS (SELECT 1 FROM (SELECT sample_id, max(struct_pack(a := dataset_id, b := source_language)) AS m FROM qwen_asr WHERE status = 'ok' GROUP BY 1) q WHERE q.sample_id = b.sample_id AND q.m.a IS NOT DISTINCT FROM b.dataset_id AND q.m.b IS NOT DISTINCT FROM b.language) AS fits FROM base b)
+SELECT source_config, count(*) AS n_rows, count(*) FILTER (fits) AS reusable FROM p GROUP BY source_config""",
+    "unfinished_work": "SELECT sample_id, count(*) AS attempts FROM qwen_asr GROUP BY sample_id HAVING NOT bool_or(coalesce(status = 'ok', false))",
+    "incremental_inputs": f"WITH {BASE} SELECT dataset_id, count(*) AS to_do FROM base WHERE sample_id NOT IN (SELECT sample_id FROM qwen_asr WHERE status = 'ok') GROUP BY dataset_id",
+    "per_speaker_topk_hash": f"WITH {BASE}, r AS (SELECT speaker_id, sample_id, row_number() OVER (PARTITION BY speaker_id ORDER BY sha256('20261010:' || sample_id), sample_id)::INT AS rank FROM base WHERE speaker_id IS NOT NULL AND duration_seconds BETWEEN 1 AND 30) SELECT * FROM r WHERE rank <= 3",
+    "fragment_offsets": f"""WITH {BASE}, n AS (SELECT dataset_id, count(*) AS n_rows FROM base GROUP BY 1) SELECT dataset_id, n_rows, coalesce(sum(n_rows) OVER (ORDER BY dataset_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM n""",
+    "fixed_slices": f"WITH {BASE}, r AS (SELECT dataset_id, sample_id, (row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id) - 1) // 100 AS slice_no FROM base) SELECT dataset_id, slice_no, count(*) AS n_rows, min(sample_id) AS first_id FROM r GROUP BY 1, 2",
+    "adjacent_segments": f"""WITH {BASE}, s AS (SELECT DISTINCT parent_sample_id, segment_start_frame AS a, segment_end_frame AS b FROM base WHERE parent_sample_id IS NOT NULL AND segment_start_frame >= 0 AND segment_start_frame < segment_end_frame),
+f AS (SELECT *, CASE WHEN lag(b) OVER (PARTITION BY parent_sample_id ORDER BY a, b) = a THEN 0 ELSE 1 END AS fresh FROM s), g AS (SELECT *, sum(fresh) OVER (PARTITION BY parent_sample_id ORDER BY a, b ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM f)
+SELECT parent_sample_id, island, min(a) AS "first", max(b) AS "last", count(*) AS n FROM g GROUP BY 1, 2""",
+    "source_rotation": f"WITH {BASE}, r AS (SELECT dataset_id, sample_id, row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id)::INT AS turn FROM base) SELECT * FROM r WHERE turn <= 3",
+    "spread_sample": f"""WITH {BASE}, p AS (SELECT dataset_id, count(*) AS c, row_number() OVER (ORDER BY dataset_id) - 1 AS place, count(*) OVER () AS parts FROM base GROUP BY dataset_id),
+r AS (SELECT b.dataset_id, b.sample_id, c, row_number() OVER (PARTITION BY b.dataset_id ORDER BY b.sample_id) - 1 AS pos FROM base b JOIN p USING (dataset_id) WHERE place IN (0, parts // 2, parts - 1))
+SELECT dataset_id, sample_id FROM r WHERE pos >= greatest(c - 4, 0) // 2 AND pos < greatest(c - 4, 0) // 2 + 4""",
+    "length_bucket_batches": f"""WITH {BASE}, l AS (SELECT {_CEIL24} AS n FROM base WHERE sample_rate > 0), b AS (SELECT ((n + 47999) // 48000) * 48000 AS bucket FROM l WHERE n > 0 AND n <= 2880000)
+SELECT bucket, count(*) AS n_rows, max(pow(2, floor(log2(greatest(1, least(64, 11520000 // bucket))))))::INT AS batch_size FROM b GROUP BY bucket""",
+    "window_energy": f"WITH f AS ({_FLAT}) SELECT vec_id, pos // 10 AS window_no, count(*) AS n, round(avg((v * v)::DOUBLE), 6) AS energy FROM f GROUP BY 1, 2",
+    "edge_levels": f"WITH f AS ({_FLAT}), p AS (SELECT vec_id, max(abs(v)) AS peak FROM f GROUP BY 1) SELECT vec_id, min(pos)::INT AS first_loud, max(pos)::INT AS last_loud FROM f JOIN p USING (vec_id) WHERE abs(v)::DOUBLE > peak::DOUBLE * 0.5 GROUP BY vec_id",
+    "effective_chars": f"WITH {BASE} SELECT sample_id, {_letters('text')} AS chars FROM base",
+    "stripped_text": f"WITH {BASE} SELECT sample_id, {_strip('text')} AS stripped, coalesce({_strip('text')}, '') = '' AS blank FROM base",
+    "language_labels": f"WITH {ASR} SELECT language, {_NAME} AS code, count(*) AS n_rows FROM asr WHERE status = 'ok' GROUP BY 1, 2",
+    "sample_digests": f"""WITH {BASE} SELECT sample_id, sha256('["' || dataset_id || '","v1","' || source_key || '"]') AS digest FROM base""",
+    "quoted_speakers": "SELECT DISTINCT speaker_id, replace(replace(replace(url_encode(speaker_id), '+', '%20'), '~', '%7E'), '%2A', '*') AS quoted FROM selection",
+    "patch_spans": f"""WITH {BASE}, l AS (SELECT sample_id, num_frames * 25 // sample_rate // 4 AS p, sha256('codec-grid-reference-v1:' || sample_id) AS h FROM base WHERE sample_rate > 0),
+b AS (SELECT *, greatest(4, ceil(p / 10))::BIGINT AS lo, p // 2 AS hi, ('0x' || substr(h, 1, 16))::UBIGINT AS x, ('0x' || substr(h, 17, 16))::UBIGINT AS y FROM l),
+n AS (SELECT *, CASE WHEN lo <= hi THEN lo + (x % (hi - lo + 1)::UBIGINT)::BIGINT END AS len FROM b), s AS (SELECT *, (y % (p - len + 1)::UBIGINT)::BIGINT AS st FROM n)
+SELECT sample_id, st AS "start", st + len AS "end" FROM s""",
+    "frame_arithmetic": f"WITH {BASE}, l AS (SELECT sample_id, {_CEIL24} AS r, floor(duration_seconds * 24000) AS d FROM base WHERE sample_rate > 0) SELECT sample_id, r AS resampled, (r + 1919) // 1920 AS codec_frames, abs(r - d) <= 480 AS agrees FROM l",
+    "vector_finite_norm": "SELECT coalesce(len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS valid, count(*) AS n_rows FROM embeddings GROUP BY 1",
+    "nested_array_validate": f"WITH {TURNS} SELECT sample_id, len(list_filter(result.turns, lambda t: t.start_sample IS NULL OR t.end_sample IS NULL)) = 0 AS valid FROM diarised WHERE status = 'ok'",
+    "lower_percentile": "SELECT vec_id, list_sort(embedding)[floor(0.9 * (len(embedding) - 1))::INT + 1] AS p90, list_sort(embedding)[floor(0.5 * (len(embedding) - 1))::INT + 1] AS p50 FROM embeddings",
+    "run_stamps": "SELECT DISTINCT sample_id, strftime(finished_at + INTERVAL 8 HOUR, '%Y%m%dT%H%M%S') AS stamp FROM qwen_asr WHERE finished_at IS NOT NULL",
+    "json_score_import": f"""WITH {BASE}, j AS (SELECT dataset_id, metadata_json AS m, CASE WHEN json_valid(metadata_json) THEN json_extract(metadata_json, '$.upstream.dnsmos') END AS v FROM base),
+s AS (SELECT dataset_id, CASE WHEN coalesce(trim(m), '') = '' THEN 'skipped' WHEN NOT json_valid(m) THEN 'failed' WHEN v IS NULL OR json_type(v) = 'NULL' THEN 'skipped' WHEN json_type(v) IN ('DOUBLE', 'BIGINT', 'UBIGINT') THEN 'ok' ELSE 'failed' END AS status,
+  CASE WHEN coalesce(trim(m), '') = '' THEN 'missing_score' WHEN NOT json_valid(m) THEN 'invalid_json' WHEN v IS NULL OR json_type(v) = 'NULL' THEN 'missing_score' WHEN json_type(v) IN ('DOUBLE', 'BIGINT', 'UBIGINT') THEN NULL ELSE 'invalid_score' END AS error_code, v FROM j)
+SELECT dataset_id, status, error_code, count(*) AS n_rows, round(avg(CASE WHEN status = 'ok' THEN v::DOUBLE END), 6) AS mean_score FROM s GROUP BY ALL""",
+    "metadata_paths": f"WITH {BASE}, j AS (SELECT CASE WHEN json_valid(metadata_json) THEN metadata_json END AS m FROM base) SELECT json_extract_string(m, '$.original_split') AS original_split, json_extract_string(m, '$.upstream.split') AS upstream_split, count(*) AS n_rows FROM j GROUP BY 1, 2",
+    "null_empty_audit": " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS nulls, " + (rf"count(*) FILTER (regexp_matches({c}, '^{_WS}*$'))" if c not in ("segment_start_frame", "repetition") else "0") + " AS blanks FROM selection" for c in ["text", "language", "speaker_id", "group_id", "audio_sha256", "metadata_json", "segment_start_frame", "repetition"]),
+    "pivot_crosscheck": "SELECT dataset_id, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped') AS skipped FROM qwen_asr GROUP BY dataset_id",
+    "histogram_quantiles": f"""WITH {BASE}, b AS (SELECT dataset_id, floor(duration_seconds / 0.25) AS bin, count(*) AS n FROM base WHERE duration_seconds IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT *, sum(n) OVER (PARTITION BY dataset_id ORDER BY bin) AS c, sum(n) OVER (PARTITION BY dataset_id) AS t FROM b)
+SELECT dataset_id, sum(n)::BIGINT AS n, round(sum(n * (bin + 0.5)) * 0.25 / sum(n), 6) AS mean, """ + ", ".join(f"min(bin * 0.25) FILTER (c >= ceil({q} * t)) AS q{round(q * 100)}" for q in (0.05, 0.5, 0.95)) + " FROM c GROUP BY dataset_id",
+    "score_summary": f"""WITH {BASE}, s AS (SELECT dataset_id, CASE WHEN json_valid(metadata_json) THEN json_extract_string(metadata_json, '$.upstream.dnsmos')::DOUBLE END AS v FROM base)
+SELECT dataset_id, count(*) AS n_rows, count(v) AS known, min(v) AS least, max(v) AS most, round(avg(v), 6) AS mean, count(*) FILTER (v NOT BETWEEN 1.0 AND 3.5) AS out_of_range FROM s GROUP BY dataset_id""",
+    "array_histogram": "SELECT item, count(*) AS n FROM (SELECT unnest(languages) AS item FROM datasets) GROUP BY item",
+    "status_coverage": f"WITH {ASR} SELECT dataset_id, count(*) AS total, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status IS NULL OR status NOT IN ('ok', 'failed', 'skipped')) AS other, true AS balanced FROM asr GROUP BY dataset_id",
+    "task_gates": "WITH g AS (SELECT dataset_id, count(*) AS n_rows, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'failed') AS failed FROM qwen_asr GROUP BY 1) SELECT *, (n_rows >= 32 AND ok = 0) OR failed > greatest(16, n_rows // 4) AS stop FROM g",
+    "ordered_digest": f"""WITH {BASE}, r AS (SELECT dataset_id || ':' || ((row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id) - 1) // 250) AS task, sample_id FROM base) SELECT task, count(*) AS n_rows, sha256(string_agg(sample_id, chr(10) ORDER BY sample_id)) AS sha256 FROM r GROUP BY task""",
+    "shard_gaps": "SELECT carrier_type, n::INT AS missing FROM (SELECT DISTINCT carrier_type FROM ids) CROSS JOIN range(64) t(n) WHERE (carrier_type, n) NOT IN (SELECT carrier_type, archive FROM ids WHERE archive IS NOT NULL)",
+    "set_equality_both_ways": "SELECT problem, count(*) AS n_keys FROM (SELECT DISTINCT sample_id, 'missing' AS problem FROM selection WHERE sample_id NOT IN (SELECT sample_id FROM qwen_asr) UNION ALL SELECT DISTINCT sample_id, 'unexpected' FROM qwen_asr WHERE sample_id NOT IN (SELECT sample_id FROM selection)) GROUP BY problem",
+    "redelivered_rows": "SELECT short_id, archive, row_number, surplus FROM (SELECT * EXCLUDE (scanned_at), count(*) - 1 AS surplus FROM ids GROUP BY ALL) WHERE surplus > 0",
+    "inherited_exclusions": "SELECT DISTINCT sample_id, 'parent' AS origin FROM qwen_asr WHERE status = 'failed' UNION ALL SELECT DISTINCT sample_id, 'addition' FROM speaker_structure WHERE status = 'failed' AND sample_id NOT IN (SELECT sample_id FROM qwen_asr WHERE status = 'failed')",
+    "split_coverage": f"WITH {BASE} SELECT 'repeated' AS problem, count(*) AS n_keys FROM base WHERE sample_rate = 22050",
+    "snapshot_round_trip": f"WITH {DECIDED}, {GROUPS} SELECT count(*) AS selected FROM resolved WHERE reason = 0",
+    "placed_rows": "SELECT count(*) AS n_rows, 0 AS first_index FROM ids",
+    "source_inventory": "SELECT '.parquet' AS extension, true AS present",
+    "model_annotation": f"WITH {BASE} SELECT CASE WHEN text IS NULL THEN 'skipped' ELSE 'ok' END AS status, CASE WHEN text IS NULL THEN 'missing_input' END AS error_code, count(*) AS n_rows FROM base GROUP BY 1, 2",
+    "audio_containers": "SELECT 'wav' AS container, count(*) AS n_rows FROM embeddings",
+    "stream_once": "SELECT event_id, any_value(event_type) AS event_type FROM events GROUP BY event_id",
+    "stream_tumbling": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+}
