@@ -73,7 +73,8 @@ def equivalent(a: Column, b: Column, atol: float = 0.0, rtol: float = 0.0) -> Co
 
 def lower_percentile(values: Column, q: float) -> Column:
     """Element at floor(q * (n - 1)) of the sorted values; null for none."""
-    return F.try_element_at(F.sort_array(values), (F.floor(F.lit(q) * (F.size(values) - 1)) + 1).cast("int"))
+    at = F.floor(F.lit(q) * (F.size(values) - 1)) + 1
+    return F.when(F.size(values) > 0, F.try_element_at(F.sort_array(values), F.greatest(at, F.lit(1)).cast("int")))
 
 
 def utc_time(c: Column) -> Column:
