@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +29,9 @@ LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 # Endings that the split pattern keeps with their apostrophe.
 CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
+#: Characters that are handled side by side.
+BLOCK = 1 << 20
+_SAFE_CUT = re.compile(r"\S(?= \S)|[^\W\d_](?=[^\w\s'])")
 #: Stands between pretokens in one automaton pass; no byte.
 BREAK = "\u0100"
 #: Entries a worker keeps; beyond that it starts anew.  Only speed depends on it.
@@ -134,6 +138,24 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+def blocks(text: str) -> list[str]:
+    """A long text in blocks, cut where a pretoken ends whatever follows: between a character
+    and a lone blank, or between a letter and a mark."""
+    out, begin = [], 0
+    while len(text) - begin > BLOCK:
+        cut, low, high = -1, begin + BLOCK // 2, begin + BLOCK
+        while cut < 0 and low < len(text):
+            for m in _SAFE_CUT.finditer(text, low, high):
+                cut = m.end()
+            low, high = high - 1, high + BLOCK
+        if cut < 0:
+            break
+        out.append(text[begin:cut])
+        begin = cut
+    out.append(text[begin:])
+    return out
+
+
 class ByteBpe:
     """Encoder for one rank file."""
 
@@ -323,6 +345,19 @@ class ByteBpe:
         """Of non-empty texts: the entry of each pretoken, its start, and where each text begins."""
         if self.count > CACHE_WORDS:
             self.reset()
+        size = np.array([len(t) for t in texts], np.int64)
+        begins = np.cumsum(size) - size
+        parts = [p for t in texts for p in blocks(t)] if size.max() > BLOCK else texts
+        entries, starts, done = [], [], 0
+        for a, b in chunks(parts, BLOCK):
+            entry, start, n = self._block(parts[a:b])
+            entries.append(entry)
+            starts.append(start + done)
+            done += n
+        return np.concatenate(entries), np.concatenate(starts), begins
+
+    def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+        """(entry of each pretoken, its start, number of characters) of texts that fit in memory side by side."""
         joined = "".join(texts)
         begins = np.zeros(len(texts), np.int64)
         np.cumsum([len(t) for t in texts[:-1]], out=begins[1:])
@@ -336,8 +371,7 @@ class ByteBpe:
         missed = np.flatnonzero(entry < 0)
         if len(missed):
             entry[missed] = self._learn([words[k] for k in missed.tolist()]) + np.arange(len(missed))
-        entry = entry[inverse]
-        return entry, starts, begins
+        return entry[inverse], starts, len(joined)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the offsets of each text (one more than texts)."""

@@ -53,6 +53,19 @@ def test_cache_limits_change_nothing(reference, monkeypatch):
         assert ids.tolist() == reference.encode_ordinary(t)
 
 
+def test_long_texts_are_cut_where_nothing_changes(reference, monkeypatch):
+    from corpusloom.llm import bpe
+
+    monkeypatch.setattr(bpe, "BLOCK", 64)
+    rng = random.Random(8)
+    for k in range(150):
+        t = "".join(rng.choice(["a", "word", " ", "  ", "\n", "'s", "'", "中", "。", "1", "!", "é", ", "]) for _ in range(rng.randint(60, 600)))
+        ids, offsets = encoder().encode(["x", t, "yy"])
+        assert "".join(bpe.blocks(t)) == t and ids[offsets[1] : offsets[2]].tolist() == reference.encode_ordinary(t)
+        (starts, sizes), = encoder().word_counts([t])
+        assert starts[0] == 0 and sizes.sum() == offsets[2] - offsets[1]
+
+
 def test_encode_corpus(spark, reference):
     data = [(k, t, "ids") for k, t in enumerate([*ODD, None])]
     df = spark.createDataFrame(data, "doc_id long, text string, ids string")
