@@ -226,6 +226,11 @@ SELECT dataset_id, count(*) AS n_rows, count(v) AS known, min(v) AS least, max(v
     "inherited_exclusions": "SELECT DISTINCT sample_id, 'parent' AS origin FROM qwen_asr WHERE status = 'failed' UNION ALL SELECT DISTINCT sample_id, 'addition' FROM speaker_structure WHERE status = 'failed' AND sample_id NOT IN (SELECT sample_id FROM qwen_asr WHERE status = 'failed')",
     "split_coverage": f"WITH {BASE} SELECT 'repeated' AS problem, count(*) AS n_keys FROM base WHERE sample_rate = 22050",
     "snapshot_round_trip": f"WITH {DECIDED}, {GROUPS} SELECT count(*) AS selected FROM resolved WHERE reason = 0",
+    "status_row_violations": """SELECT dataset_id, 'payload_by_status' AS item, count(*) AS n FROM qwen_asr WHERE (text IS NOT NULL) <> coalesce(status = 'ok', false) GROUP BY 1
+UNION ALL SELECT dataset_id, 'error_by_status', count(*) FROM qwen_asr WHERE (error_code IS NULL) <> coalesce(status = 'ok', false) GROUP BY 1""",
+    "carrier_candidates": """WITH c AS (SELECT * EXCLUDE (priority, error), native_frames + archive % 3 - 1 AS b, CASE carrier_type WHEN 'short' THEN 0 WHEN 'long' THEN 2 WHEN 'dialogue' THEN 4 END AS priority FROM ids),
+e AS (SELECT *, CASE WHEN priority IS NULL THEN 'unknown_carrier_type' WHEN NOT coalesce(native_frames > 0 AND sample_rate > 0, false) THEN 'invalid_timeline' WHEN coalesce(recording_id, '') = '' THEN 'missing_identity' END AS carrier_error FROM c)
+SELECT carrier_type, priority, CASE WHEN carrier_error IS NOT NULL THEN NULL WHEN NOT (0 < b AND b <= native_frames) THEN 'invalid_short_bounds' WHEN carrier_type = 'short' AND b <> native_frames THEN 'standalone_short_not_full_carrier' END AS error, carrier_error, count(*) AS n_rows FROM e GROUP BY ALL""",
     "placed_rows": "SELECT count(*) AS n_rows, 0 AS first_index FROM ids",
     "source_inventory": "SELECT '.parquet' AS extension, true AS present",
     "model_annotation": f"WITH {BASE} SELECT CASE WHEN text IS NULL THEN 'skipped' ELSE 'ok' END AS status, CASE WHEN text IS NULL THEN 'missing_input' END AS error_code, count(*) AS n_rows FROM base GROUP BY 1, 2",

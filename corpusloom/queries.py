@@ -11,15 +11,15 @@ from corpusloom.functions import audio, digests, frames, models, tags
 from corpusloom.functions import text as tx
 from corpusloom.functions.hashes import digest64
 from corpusloom.operators import aggregates as agg
-from corpusloom.operators import dedup, joins, sets, speakers
+from corpusloom.operators import dedup, features, joins, sets, speakers
 from corpusloom.operators import windows as win
 from corpusloom.operators.intervals import periods_and_gaps
 from corpusloom.oracle import ORACLE  # noqa: F401
 from corpusloom.plans import selection as plan
 from corpusloom.plans.rules import Evidence, Rules, decide, dictionary, primary, revision_text, text_override, timeline_violations
 from corpusloom.sources import base as base_source
-from corpusloom.sources import files, sinks
 from corpusloom.shared import shared_folder
+from corpusloom.sources import carriers, files, sinks
 from corpusloom.streaming import events as stream
 from corpusloom.tables import table
 
@@ -389,7 +389,7 @@ def stripped_text(spark, folder):
 
 @query
 def comparable_text(spark, folder):
-    return _base(spark, folder).where("language in ('en', 'de', 'fr')").select("sample_id", tx.comparable(F.col("text"), {"colour": "color"}).alias("form"))
+    return _base(spark, folder).select("sample_id", tx.comparable(F.col("text"), {"colour": "color"}).alias("form"))
 
 
 @query
@@ -447,7 +447,7 @@ def quoted_speakers(spark, folder):
 @query
 def event_tags(spark, folder):
     text = F.regexp_replace("text", r"<laughter>|\[(?:laughing|sigh)\]|\(breath\)", "")
-    rows = _base(spark, folder).where("dataset_id = 'nonverb_tags'").withColumn("marked", F.concat(F.coalesce(text, F.lit("")), F.lit(" <laughter>")))
+    rows = _base(spark, folder).withColumn("marked", F.concat(F.coalesce(text, F.lit("")), F.lit(" <laughter>")))
     return rows.select("sample_id", tags.convert_tags(F.col("marked"), F.lit("angled")).alias("t")).select("sample_id", "t.text", "t.target_tags", "t.action", "t.error")
 
 
@@ -672,6 +672,45 @@ def model_annotation(spark, folder):
     return found.groupBy("status", "error_code").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# --- features and carriers ------------------------------------------------------------
+
+
+@query
+def selected_metadata(spark, folder):
+    base = _base(spark, folder)
+    return features.selected_metadata(plan.decision_columns(plan.select(base, _rules())), base)
+
+
+@query
+def status_row_violations(spark, folder):
+    rows = table(spark, folder, "qwen_asr")
+    return agg.array_histogram(rows.withColumn("v", features.violations(*features.payload_violations("text"))), "v", "dataset_id")
+
+
+@query
+def task_chains(spark, folder):
+    rows = win.slices(_base(spark, folder).select("dataset_id", "sample_id"), "dataset_id", "sample_id", 250).withColumn("task", F.concat_ws(":", "dataset_id", "slice_no"))
+    return features.chained_digest(rows, "task", "sample_id", "sample_id", "dataset_id")
+
+
+@query
+def attached_references(spark, folder):
+    base = _base(spark, folder).where("sample_rate > 0")
+    codec = base.select("sample_id", "audio_sha256", F.col("num_frames").alias("end_frame"), F.col("sample_rate").alias("native_sample_rate"))
+    targets = _ok_asr(spark, folder).select("sample_id", F.coalesce(digest64(F.col("audio_sha256")), F.lit("")).alias("audio_sha256"))
+    found = features.attach_references(targets, codec, "sample_id", 7, ["audio_sha256"])
+    return found.select("sample_id", "problem", "reference.start_step", "reference.end_step")
+
+
+@query
+def carrier_candidates(spark, folder):
+    end = F.col("native_frames") + F.col("archive") % 3 - 1
+    short = F.array(F.struct(F.col("short_id").alias("id"), F.lit(0).alias("rel_start_samples"), end.alias("rel_end_samples"), F.col("semantic_hash").alias("text"), F.col("language")))
+    meta = F.to_json(F.struct(F.col("carrier_type").alias("type"), F.col("short_id").alias("id"), "recording_id", F.col("native_frames").alias("frames"), "sample_rate", short.alias("short")))
+    made = carriers.candidates(table(spark, folder, "ids").select("archive", "row_number", meta.alias("metadata_json")))
+    return made.groupBy("carrier_type", "priority", "error", "carrier_error").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # --- streams --------------------------------------------------------------------------
 
 
