@@ -43,6 +43,7 @@ MOST_SAMPLES = 100_000
 _ASIDE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|（[^（）]*）|【[^【】]*】|「[^「」]*」|『[^『』]*』|《[^《》]*》|“[^“”]*”|„[^„“”]*[“”]|«[^«»]*»|\"[^\"]*\"|<[^<>]*>|♪[^♪]*♪")
 _BOUND = re.compile(r"[.!?…]+[\"'”’»)\]]*\s+|[。！？]+[」』）”]*\s*|[\r\n]+\s*|\s+/\s+")
 _LOOP = re.compile(r"(\S+\s+)\1+")
+_STUTTER = re.compile(r"(\S{2,20}?)\1{3,}")
 _FRAGMENT = re.compile(r"\s*[^\W\d_\u3040-\u9fff\uac00-\ud7af]*[,;:]?\s*[^\W\d_\u3040-\u9fff\uac00-\ud7af]*[,;:]?\s*")
 _WORD = re.compile(r"\s+|(?<=[、，；：])")
 
@@ -180,8 +181,8 @@ class Identifier:
         out: list[list[tuple[str, float]]] = []
         for k, done in enumerate(settled.tolist()):
             a, n = int(first[k]), int(per_text[k])
-            if not done and _LOOP.search(texts[k]):  # a word said over and over is no sentence of its own
-                out += self.runs([_LOOP.sub(r"\1", texts[k])])
+            if not done and (short := _LOOP.sub(r"\1", _STUTTER.sub(r"\1\1", texts[k]))) != texts[k]:
+                out += self.runs([short])  # what is said over and over is no sentence of its own
                 continue
             out.append([self._run(total[k])] if done else self._search(parts[k], cost[a : a + n], table, window, int(begin[k])))
         return out

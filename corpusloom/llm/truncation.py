@@ -2,7 +2,7 @@
 
 The corpus's own words form a trie, kept as a table of prefixes, with counts of how often a
 word ends a sentence.  A text without a final mark is suspect if its last word is unknown
-but a proper prefix of known words, or known and never the end of a sentence.  Length
+but a proper prefix of known words, or known and hardly ever the end of a sentence.  Length
 evidence decides beside it: texts of one source that pile up at its greatest length in
 characters, bytes or words show a field limit, and where the sample has a line of its own,
 a text that is a proper prefix of that line is short of it.
@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A word counts as known to go on if it was seen so often and never at an end.
-SEEN_OFTEN = 10
+#: A word counts as known to go on if it was seen so often before another, and at most once
+#: in so many cases at the end of a sentence.
+SEEN_OFTEN, SELDOM = 10, 200
 #: Texts that must stand at a source's greatest length, and their least share of the texts near it.
 PILE, PILE_SHARE = 5, 0.5
 GRAM = 4
@@ -32,7 +33,9 @@ BROKEN = "�"
 _ASIDE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|（[^（）]*）|<[^<>]*>|♪")
 _WORD = re.compile(r"[^\W_]+")
 _DENSE = re.compile(r"[぀-ヿ㐀-鿿]")
-_END = re.compile(r"[.!?。！？…—–]")
+_END = re.compile(r"[.!?。！？]")
+#: After these nothing is known: speech trails off, or a line without marks ends.
+_OPEN = re.compile(r"[…—–\r\n-]")
 _TRAILS = re.compile(r"(?:…|—|–|--)[\s\"'”’»」』）)]*$")
 _CLOSED = re.compile(r"[.!?。！？…—–][\s\"'”’»」』）)]*$|[」』”»）)\]>♪][\s.]*$")
 
@@ -60,7 +63,7 @@ def count_words(texts: list[str]) -> dict[str, list[int]]:
         low = unicodedata.normalize("NFKC", text).casefold()
         for word, end in words(low):
             rest = low[end : end + 1]
-            if rest:  # nothing is known about what would follow the end of the text
+            if rest and not _OPEN.match(rest):  # nor is anything known about what follows the end of the text
                 found.setdefault(word, [0, 0])[bool(_END.match(rest))] += 1
     return found
 
@@ -73,6 +76,12 @@ def last_word(text: str) -> str:
     return last
 
 
+def loops(text: str) -> bool:
+    """Whether a text ends in a loop: where it stops says nothing about a cut then."""
+    tail = text.rstrip()[-16:]
+    return len(tail) == 16 and text.count(tail) > 2
+
+
 def against(text: str, line: str | None) -> str:
     """How a text stands to the sample's own line: none, same, short (a proper prefix) or other."""
     if line is None or not line.strip():
@@ -83,7 +92,7 @@ def against(text: str, line: str | None) -> str:
 
 def features(df: DataFrame) -> DataFrame:
     """Per (sample_id, dataset_id, text, line): last word, lengths, final mark and relation to the line."""
-    columns = ["sample_id", "dataset_id", "last_word", "n_chars", "n_bytes", "n_words", "closed", "dots", "broken", "line"]
+    columns = ["sample_id", "dataset_id", "last_word", "n_chars", "n_bytes", "n_words", "closed", "dots", "broken", "looped", "line"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,12 +100,12 @@ def features(df: DataFrame) -> DataFrame:
             for text, line in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 bare = text.rstrip(BROKEN)
                 tail = text[-64:]
-                rows.append((last_word(text), len(text), len(bare.encode()), text.count(" ") + 1, bool(_CLOSED.search(tail)), tail.endswith("...") and not tail.endswith("...."), text.rstrip().endswith(BROKEN), against(text, line)))
-            cols = list(zip(*rows)) or [[]] * 8
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()]
+                rows.append((last_word(text), len(text), len(bare.encode()), text.count(" ") + 1, bool(_CLOSED.search(tail)), tail.endswith("...") and not tail.endswith("...."), text.rstrip().endswith(BROKEN), loops(bare), against(text, line)))
+            cols = list(zip(*rows)) or [[]] * 9
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(cols, kinds)]], columns)
 
-    schema = "sample_id string, dataset_id string, last_word string, n_chars bigint, n_bytes bigint, n_words bigint, closed boolean, dots boolean, broken boolean, line string"
+    schema = "sample_id string, dataset_id string, last_word string, n_chars bigint, n_bytes bigint, n_words bigint, closed boolean, dots boolean, broken boolean, looped boolean, line string"
     return df.select("sample_id", "dataset_id", "text", "line").mapInArrow(run, schema)
 
 
@@ -137,7 +146,7 @@ def _at_limit(limits: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def truncated(asr: DataFrame, lines: DataFrame) -> DataFrame:
-    """(sample_id, dataset_id, at_limit, line, unknown_prefix, never_end, cut) of each recognised text.
+    """(sample_id, dataset_id, at_limit, line, unknown_prefix, never_end, looped, open_end, cut) of each recognised text.
 
     asr: (sample_id, status, dataset_id, text); lines: (sample_id, text).  Rows delivered
     twice count once.
@@ -154,13 +163,13 @@ def truncated(asr: DataFrame, lines: DataFrame) -> DataFrame:
     stats = last.join(nodes, "last_word", "left").join(words_seen, "last_word", "left").select(
         "last_word",
         (F.coalesce("prefix", F.lit(False)) & F.col("goes_on").isNull()).alias("unknown_prefix"),
-        (F.coalesce((F.col("goes_on") >= SEEN_OFTEN) & (F.col("ends") == 0), F.lit(False))).alias("never_end"),
+        (F.coalesce((F.col("goes_on") >= SEEN_OFTEN) & (F.col("ends") * SELDOM <= F.col("goes_on")), F.lit(False))).alias("never_end"),
     )
     judged = found.join(stats, "last_word", "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("unknown_prefix", "never_end")})
-    evidence = F.col("at_limit") | F.col("broken") | F.col("unknown_prefix") | F.col("never_end")
+    evidence = F.col("at_limit") | F.col("broken") | (~F.col("looped") & (F.col("unknown_prefix") | F.col("never_end")))
     short = F.col("line") == "short"
     cut = open_end & (short | (F.col("line").isin("none", "other") & evidence))
-    return judged.select("sample_id", "dataset_id", "at_limit", "line", "unknown_prefix", "never_end", open_end.alias("open_end"), cut.alias("cut"))
+    return judged.select("sample_id", "dataset_id", "at_limit", "line", "unknown_prefix", "never_end", "looped", open_end.alias("open_end"), cut.alias("cut"))
 
 
 def truncation_rates(judged: DataFrame) -> DataFrame:
