@@ -50,7 +50,9 @@ def duplicate_groups(decided: DataFrame, priority: list[str], annotated: Column
 def resolve_duplicates(decided: DataFrame, priority: list[str], annotated: Column | None = None, keep_variants: bool = False) -> DataFrame:
     """`decided` with reason and flags after duplicates: held out, conflicting and lower-ranked members drop out."""
     groups = duplicate_groups(decided, priority, annotated).withColumnRenamed("audio_sha256", "__hash")
-    rows = decided.join(groups, F.col("audio_sha256") == F.col("__hash"), "left")
+    # rows without a hash get keys of their own, so that they don't meet in one task
+    key = F.when(F.coalesce("audio_sha256", F.lit("")) != "", F.col("audio_sha256")).otherwise(F.concat(F.lit("none:"), "sample_id"))
+    rows = decided.join(groups, key == F.col("__hash"), "left")
     member = F.col("members").isNotNull()
     flags = F.col("flags").bitwiseOR(F.when(member, BIT["duplicate_member"]).otherwise(0)).bitwiseOR(F.when(present(F.col("conflict")), BIT["duplicate_conflict"]).otherwise(0))
     lost = F.lit(not keep_variants) & (F.col("winner") != F.col("sample_id"))

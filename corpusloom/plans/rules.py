@@ -128,14 +128,14 @@ def chosen_text(asr: bool) -> Column:
     return F.when(F.col("asr.status").isNull(), own).when(F.col("asr.status") == "ok", F.coalesce(tx.strip(F.col("asr.text")), F.lit(""))).otherwise("")
 
 
-def hits(rules: Rules, e: Evidence, language: Column, text: Column, chars: Column) -> list[tuple[Column, Column | int, int]]:
-    """(predicate, reason code or null, flag bits) of every active rule."""
+def hits(rules: Rules, e: Evidence, language: Column, text: Column, chars: Column) -> list[tuple[Column, int | None, int]]:
+    """(predicate, reason code if it gives one, flag bits) of every active rule."""
     c = F.col
     supported = present(language.isin(rules.supported_languages)) if rules.supported_languages else F.lit(True)
     has_language = present(language != "")
     heard = c("asr.status").isNotNull() if e.asr else F.lit(False)
     heard_ok = present(c("asr.status") == "ok") if e.asr else F.lit(False)
-    out: list[tuple[Column, Column | int, int]] = []
+    out: list[tuple[Column, int | None, int]] = []
     if e.sample_list:
         out.append((c("listed").isNull(), 8002, BIT["sampling_policy"]))
     if e.audio_exclusion:
@@ -148,9 +148,12 @@ def hits(rules: Rules, e: Evidence, language: Column, text: Column, chars: Colum
     if e.asr:
         out.append((unavailable, 1003, BIT["missing_text"]))
     short = (text == "") | (F.length(chars) < (rules.min_effective_characters or 0))
-    out.append((short, F.when(~unavailable, F.lit(1001)), BIT["missing_text"]))
+    out.append((short & ~unavailable, 1001, 0))
+    out.append((short, None, BIT["missing_text"]))
     if rules.supported_languages:
-        out.append((~supported & (has_language if not rules.require_language else F.lit(True)), F.when(has_language, F.lit(2002)).otherwise(2001), BIT["language_policy"]))
+        out.append((~supported & has_language, 2002, BIT["language_policy"]))
+        if rules.require_language:
+            out.append((~supported & ~has_language, 2001, BIT["language_policy"]))
     if e.asr and rules.asr_labels is not None:
         other = ~(tx.lookup(c("asr.language"), rules.asr_labels).eqNullSafe(language))
         conflict = present(c("asr.language_mismatch")) | c("asr.candidate_text").isNotNull() | c("asr.candidate_response").isNotNull() | other
@@ -198,10 +201,14 @@ def speaker_outcome(required: int) -> Column:
     return F.when(missing, "unavailable").when(n == required, "passed").otherwise(F.concat(F.lit("count_"), F.least(n, F.lit(4)).cast("string")))
 
 
-def primary(reasons: Column, priority: list[int]) -> Column:
-    """First code of the priority list among the reasons, or 0."""
-    found = F.filter(F.array(*map(F.lit, priority)), lambda p: F.array_contains(reasons, p)) if priority else F.array().cast("array<int>")
-    return F.coalesce(F.try_element_at(found, F.lit(1)), F.lit(0))
+def primary(hit: list[tuple[Column, int]], priority: list[int]) -> Column:
+    """First code of the priority list among the hits, or 0: each predicate is evaluated once."""
+    place = {code: k for k, code in enumerate(priority)}
+    ranks = [F.when(p, place[code]) for p, code in hit if code in place]
+    if not ranks:
+        return F.lit(0)
+    first = ranks[0] if len(ranks) == 1 else F.least(*ranks)
+    return F.coalesce(F.try_element_at(F.array(*map(F.lit, priority)), first + 1), F.lit(0))
 
 
 def decide(rows: DataFrame, rules: Rules, evidence: Evidence = Evidence()) -> DataFrame:
@@ -219,12 +226,11 @@ def decide(rows: DataFrame, rules: Rules, evidence: Evidence = Evidence()) -> Da
         needed["script_share"] = tx.script_share(F.col("selected_text"), F.col("selected_language"), rules.script)
     df = df.withColumns(needed)
     found = hits(rules, evidence, F.col("selected_language"), F.col("selected_text"), F.col("effective_chars"))
-    codes = F.array_compact(F.array(*[F.when(p, code if isinstance(code, Column) else F.lit(code)) for p, code, _ in found]))
+    coded = [(p, code) for p, code, _ in found if code is not None]
     flags = F.lit(0)
     for p, _, bits in found:
-        flags = flags.bitwiseOR(F.when(p, F.lit(bits)).otherwise(0))
-    df = df.withColumns({"reasons": codes, "flags": flags})
-    return df.withColumn("reason", primary(F.col("reasons"), rules.reason_priority))
+        flags = flags.bitwiseOR(F.when(p, F.lit(bits)).otherwise(0)) if bits else flags
+    return df.withColumns({"reasons": F.array_compact(F.array(*[F.when(p, code) for p, code in coded])), "flags": flags, "reason": primary(coded, rules.reason_priority)})
 
 
 def timeline_violations() -> Column:

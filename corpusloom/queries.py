@@ -200,8 +200,8 @@ def speaker_count_outcomes(spark, folder):
 
 @query
 def primary_reason_order(spark, folder):
-    reasons = F.array_compact(F.array(F.when(F.col("num_frames") < 24000, 3001), F.when(F.col("duration_seconds") > 10, 3002), F.when(F.col("text").isNull(), 1001)))
-    return _base(spark, folder).select("sample_id", primary(reasons, [1001, 3002]).alias("reason"))
+    hit = [(F.col("num_frames") < 24000, 3001), (F.col("duration_seconds") > 10, 3002), (F.col("text").isNull(), 1001)]
+    return _base(spark, folder).select("sample_id", primary(hit, [1001, 3002]).alias("reason"))
 
 
 # --- duplicates and candidates --------------------------------------------------------
