@@ -79,14 +79,20 @@ CLASSES = ["Lu", "Ll", "Lo", "Nd", "Zs", "Po", "other"]
 COMMON_WORDS = 50
 
 
-def histograms(text: str, common: list[str]) -> tuple[list[float], list[float]]:
-    """Counts of character classes, and of the common words and all others."""
-    kinds = Counter(unicodedata.category(c) for c in text)
-    chars = [float(kinds.pop(c, 0)) for c in CLASSES[:-1]]
-    words = Counter(_DROP.sub("", text.casefold()).split())
-    total = sum(words.values())
+def char_histogram(text: str) -> list[float]:
+    """Counts of character classes."""
+    kinds = Counter(map(unicodedata.category, text))
+    return [*(float(kinds.pop(c, 0)) for c in CLASSES[:-1]), float(sum(kinds.values()))]
+
+
+def word_counts(text: str) -> Counter:
+    return Counter(_DROP.sub("", text.casefold()).split())
+
+
+def word_histogram(words: Counter, common: list[str]) -> list[float]:
+    """Counts of the common words, and of all others together."""
     named = [float(words[w]) for w in common]
-    return [*chars, float(sum(kinds.values()))], [*named, total - sum(named)]
+    return [*named, sum(words.values()) - sum(named)]
 
 
 def js_distance(p: list[float], q: list[float]) -> float:
@@ -116,17 +122,16 @@ def divergence(df: DataFrame, key: str, text: str, references: DataFrame) -> Dat
         known.setdefault(row[0], []).append(row[1])
     made = {}
     for language, texts in sorted(known.items()):
-        words = Counter(w for t in texts for w in _DROP.sub("", t.casefold()).split())
+        words = word_counts(" ".join(texts))
         common = [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:COMMON_WORDS]]
-        made[language] = (common, *histograms(" ".join(texts), common))
+        made[language] = (common, char_histogram(" ".join(texts)), word_histogram(words, common))
 
     def one(t: str | None):
         if not t or units_of(t)[0] is None:
             return None, None, None
-        best = None
+        best, own, said = None, char_histogram(t), word_counts(t)
         for language, (common, chars, words) in made.items():
-            c, w = histograms(t, common)
-            got = (js_distance(c, chars), js_distance(w, words))
+            got = (js_distance(own, chars), js_distance(word_histogram(said, common), words))
             if best is None or sum(got) < sum(best[1:]):
                 best = (language, *got)
         return best or (None, None, None)
