@@ -50,7 +50,7 @@ def p4_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    samples = survivors.sample_survivors(table(spark, folder, "selection"), table(spark, folder, "datasets"))
+    samples = survivors.sample_survivors(table(spark, folder, "selection"), table(spark, folder, "datasets"), [])
     candidates = survivors.candidate_survivors(table(spark, folder, "ids"))
     return samples.select(F.lit("selection").alias("group_kind"), "group_key", F.col("sample_id").alias("survivor")).unionByName(
         candidates.select(F.lit("ids").alias("group_kind"), "group_key", F.concat_ws(":", "archive", "row_number").alias("survivor"))
@@ -61,6 +61,10 @@ def p5_records(spark: SparkSession, folder: str) -> DataFrame:
     return survivors.sample_survivors(table(spark, folder, "selection"), table(spark, folder, "datasets"))
 
 
+def p5_id_records(spark: SparkSession, folder: str) -> DataFrame:
+    return survivors.candidate_records(table(spark, folder, "ids"))
+
+
 def p6_shares(spark: SparkSession, folder: str) -> DataFrame:
     return rep.repetition(table(spark, folder, "selection"), "sample_id", "text").distinct()
 
@@ -90,7 +94,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("piece_no = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_languages, p3_found, p3_rates, p4_found, p4_counts, p5_found, p5_records, p6_found, p6_shares, p6_divergence, p7_ids, p8_containers, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_languages, p3_found, p3_rates, p4_found, p4_counts, p5_found, p5_records, p5_id_records, p6_found, p6_shares, p6_divergence, p7_ids, p8_containers, p9_found, p9_pieces)}
 ORACLE: dict[str, str] = {
     "p5_found": r"""
 WITH s AS (

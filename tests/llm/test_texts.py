@@ -215,3 +215,24 @@ def test_survivors(spark):
     got = sorted(tuple(r) for r in survivors.candidate_survivors(spark.createDataFrame(rows, ids)).collect())
     assert got == [("k", 1, 1), ("tie", 1, 3)]
     assert survivors.candidate_survivors(spark.createDataFrame([], ids)).collect() == []
+
+
+def test_survivors_carry_every_field(spark):
+    h = "cd" * 32
+    cols = "sample_id string, dataset_id string, source_key string, audio_sha256 string, text string, language string, speaker_id string, recording_id string, speaker_scope string, group_id string, parent_sample_id string, segment_start_frame long, segment_end_frame long, sample_rate int, num_frames long, text_variants array<string>, repetition double, converted_at timestamp"
+    data = [
+        ("a", "good", "ka", h, "x", "en", "s", None, "all", " ", None, 7, 9, None, 5, [], None, None), ("b", "poor", "kb", h, "y", None, " ", None, "one", "g", "p", 1, None, 16000, 4, ["v"], 0.5, None), ("b", "poor", "kb", h, "y", None, " ", None, "one", "g", "p", 1, None, 16000, 4, ["v"], 0.5, None), ("c", "none", "kc", h, None, None, None, None, None, "z", "q", 2, 3, None, None, None, 0.1, None),
+    ]
+    datasets = spark.createDataFrame([("good", 1), ("poor", 5)], "dataset_id string, priority int")
+    (r,) = survivors.sample_survivors(spark.createDataFrame(data, cols), datasets).collect()
+    assert (r.sample_id, r.dataset_id, r.source_key, r.speaker_id, r.speaker_scope, r.group_id) == ("a", "good", "ka", "s", "all", "g")
+    assert (r.parent_sample_id, r.segment_start_frame, r.segment_end_frame, r.sample_rate, r.num_frames, r.text_variants, r.repetition) == ("q", 2, 3, 16000, 4, ["v"], 0.5)  # places and formats of one member
+    ids = "short_id string, recording_id string, semantic_hash string, archive int, row_number long, carrier_type string, priority short, error string, language string, native_frames long, sample_rate int, scanned_at int"
+    rows = [
+        ("k", None, "h", 2, 1, "short", 1, None, " ", 10, 8, 5), ("k", "far", "h", 9, 1, "long", None, None, "fr", 30, 8, 9), ("k", None, None, 3, 1, "long", 2, "", "en", 20, 8, 1), ("k", "bad", "h", 1, 1, "short", 0, "e", "xx", 40, 8, 9), ("k", None, "h", 2, 1, "short", 1, None, " ", 10, 8, 3),
+        ("l", None, "h", 1, 1, "short", 1, None, None, None, 8, 1), ("l", "last", "h", 2, 1, "short", 1, "e", None, 7, 16, 1), ("one", "r", "h", 1, 1, "short", 1, None, "en", 1, 8, 1),
+    ]
+    got = {r.group_key: r.asDict() for r in survivors.candidate_records(spark.createDataFrame(rows, ids)).collect()}
+    assert sorted(got) == ["k", "l"]
+    assert got["k"] == dict(group_key="k", archive=2, row_number=1, recording_id="far", semantic_hash="h", carrier_type="short", language="en", native_frames=10, sample_rate=8, priority=1, scanned_at=3)
+    assert (got["l"]["recording_id"], got["l"]["language"], got["l"]["native_frames"], got["l"]["sample_rate"]) == ("last", None, 7, 16)
