@@ -36,6 +36,11 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return _truncated(spark, folder).where("cut").select("sample_id").distinct()
 
 
+def p3_suspects(spark: SparkSession, folder: str) -> DataFrame:
+    """What trie and field limits find by themselves, with how the text stands to the sample's line."""
+    return _truncated(spark, folder).where("suspect").select("sample_id", "line", "cut").distinct()
+
+
 def p3_rates(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.truncation_rates(_truncated(spark, folder))
 
@@ -94,7 +99,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_pieces(spark, folder).where("piece_no = 1").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_languages, p3_found, p3_rates, p4_found, p4_counts, p5_found, p5_records, p5_id_records, p6_found, p6_shares, p6_divergence, p7_ids, p8_containers, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_languages, p3_found, p3_suspects, p3_rates, p4_found, p4_counts, p5_found, p5_records, p5_id_records, p6_found, p6_shares, p6_divergence, p7_ids, p8_containers, p9_found, p9_pieces)}
 ORACLE: dict[str, str] = {
     "p5_found": r"""
 WITH s AS (

@@ -2,10 +2,11 @@
 
 The corpus's own words form a trie, kept as a table of prefixes, with counts of how often a
 word ends a sentence.  A text without a final mark is suspect if its last word is unknown
-but a proper prefix of known words, or known and hardly ever the end of a sentence.  Length
-evidence decides beside it: texts of one source that pile up at its greatest length in
-characters, bytes or words show a field limit, and where the sample has a line of its own,
-a text that is a proper prefix of that line is short of it.
+but a proper prefix of known words, or known and hardly ever the end of a sentence, or if
+the texts of its source pile up at its greatest length in characters, bytes or words, which
+shows a field limit.  That is the method by itself (`suspect`).  Where the sample has a line
+of its own, another method decides (`cut`): a text that is a proper prefix of the line is
+short of it, suspect or not, and one that equals it isn't cut.
 
 Null and blank texts are no case.  A text that only lacks its final mark, or trails off
 with a dash or an ellipsis, isn't one either.
@@ -146,7 +147,7 @@ def _at_limit(limits: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def truncated(asr: DataFrame, lines: DataFrame) -> DataFrame:
-    """(sample_id, dataset_id, at_limit, line, unknown_prefix, never_end, looped, open_end, cut) of each recognised text.
+    """(sample_id, dataset_id, at_limit, line, unknown_prefix, never_end, looped, open_end, suspect, cut) of each recognised text.
 
     asr: (sample_id, status, dataset_id, text); lines: (sample_id, text).  Rows delivered
     twice count once.
@@ -169,7 +170,7 @@ def truncated(asr: DataFrame, lines: DataFrame) -> DataFrame:
     evidence = F.col("at_limit") | F.col("broken") | (~F.col("looped") & (F.col("unknown_prefix") | F.col("never_end")))
     short = F.col("line") == "short"
     cut = open_end & (short | (F.col("line").isin("none", "other") & evidence))
-    return judged.select("sample_id", "dataset_id", "at_limit", "line", "unknown_prefix", "never_end", "looped", open_end.alias("open_end"), cut.alias("cut"))
+    return judged.select("sample_id", "dataset_id", "at_limit", "line", "unknown_prefix", "never_end", "looped", open_end.alias("open_end"), (open_end & evidence).alias("suspect"), cut.alias("cut"))
 
 
 def truncation_rates(judged: DataFrame) -> DataFrame:

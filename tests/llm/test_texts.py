@@ -126,6 +126,15 @@ def test_truncation(spark):
     assert truncation.truncated(asr.limit(0), base).collect() == []
 
 
+def test_truncation_by_the_method_alone(spark):
+    full = "they opened the heavy door behind the mill and repaired the radio near the pond"
+    data = [(f"c{k}", "ok", "src", f"Before noon {full}.") for k in range(5)] + [("cut", "ok", "src", "Before noon they opened the heavy door beh"), ("comma", "ok", "src", "Before noon they opened the heavy door,"), ("same", "ok", "src", "Then they opened the"), ("alone", "ok", "src", "Then they opened the hea")]
+    asr = spark.createDataFrame(data, "sample_id string, status string, dataset_id string, text string")
+    lines = spark.createDataFrame([("cut", f"Before noon {full}."), ("comma", f"Before noon {full}."), ("same", "Then they opened the")], "sample_id string, text string")
+    got = {r.sample_id: (r.line, r.suspect, r.cut) for r in truncation.truncated(asr, lines).collect() if not r.sample_id.startswith("c") or r.sample_id in ("cut", "comma")}
+    assert got == {"cut": ("short", True, True), "comma": ("short", False, True), "same": ("same", True, False), "alone": ("none", True, True)}
+
+
 def test_stated_splits(spark):
     cases = [
         ('{"original_split_group": "dev"}', "evaluation"), ('{"original_split": "Train-360"}', "training"), ('{"upstream": {"split": "held_out"}}', "evaluation"), ('{"original_split": null, "upstream": {"wav_path": "wavs/test/0001.wav"}}', "evaluation"),
