@@ -65,9 +65,22 @@ def length_batches(df: DataFrame, length: str, unique: str, padded: Column, size
     return rows.withColumn("batch_no", F.floor(at / F.col("batch_size")).cast("long"))
 
 
-def interleaved(df: DataFrame, source: str, order: str) -> DataFrame:
-    """`df` with turn: the row's place within its source, so that ordering by turn takes sources in rotation."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(source).orderBy(order)))
+def interleaved(df: DataFrame, source: str, order: str, slice_of: Column | None = None) -> DataFrame:
+    """`df` with turn: the row's place within its source, so that ordering by turn takes sources in rotation.
+
+    Rows are ranked within slices of a source and moved up by the rows of the slices before,
+    so that a source with a large share of the rows is ranked by many tasks.  slice_of: a
+    value that never falls as `order` rises; the first two characters of a string, else none.
+    Null sources are one source.
+    """
+    text = df.schema[order].dataType.simpleString() == "string"
+    rows = df.withColumn("__slice", slice_of if slice_of is not None else F.substring(order, 1, 2) if text else F.lit(0))
+    before = Window.partitionBy("__source").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(F.col(source).alias("__source"), F.col("__slice").alias("__of")).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.withColumnRenamed("__of", "__slice").withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).select("__source", F.col("__slice").alias("__of"), "__before")
+    ranked = rows.withColumn("__at", F.row_number().over(Window.partitionBy(source, "__slice").orderBy(order)))
+    joined = ranked.join(offsets, F.col(source).eqNullSafe(F.col("__source")) & F.col("__slice").eqNullSafe(F.col("__of")))
+    return joined.withColumn("turn", F.col("__at") + F.col("__before")).drop("__slice", "__at", "__source", "__of", "__before")
 
 
 def spread_sample(df: DataFrame, part: str, order: str, n: int) -> DataFrame:

@@ -183,6 +183,7 @@ SELECT source_config, count(*) AS n_rows, count(*) FILTER (fits) AS reusable FRO
 f AS (SELECT *, CASE WHEN lag(b) OVER (PARTITION BY parent_sample_id ORDER BY a, b) = a THEN 0 ELSE 1 END AS fresh FROM s), g AS (SELECT *, sum(fresh) OVER (PARTITION BY parent_sample_id ORDER BY a, b ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM f)
 SELECT parent_sample_id, island, min(a) AS "first", max(b) AS "last", count(*) AS n FROM g GROUP BY 1, 2""",
     "source_rotation": f"WITH {BASE}, r AS (SELECT dataset_id, sample_id, row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id)::INT AS turn FROM base) SELECT * FROM r WHERE turn <= 3",
+    "source_rotation_all": f"WITH {BASE} SELECT dataset_id, sample_id, row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id) AS turn FROM base",
     "spread_sample": f"""WITH {BASE}, p AS (SELECT dataset_id, count(*) AS c, row_number() OVER (ORDER BY dataset_id) - 1 AS place, count(*) OVER () AS parts FROM base GROUP BY dataset_id),
 r AS (SELECT b.dataset_id, b.sample_id, c, row_number() OVER (PARTITION BY b.dataset_id ORDER BY b.sample_id) - 1 AS pos FROM base b JOIN p USING (dataset_id) WHERE place IN (0, parts // 2, parts - 1))
 SELECT dataset_id, sample_id FROM r WHERE pos >= greatest(c - 4, 0) // 2 AND pos < greatest(c - 4, 0) // 2 + 4""",

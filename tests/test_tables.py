@@ -73,6 +73,20 @@ def test_window_shapes(spark):
     assert energy == [("k", 0, 3, 2 / 3), ("k", 1, 1, 1.0)]
 
 
+def test_rotation_takes_every_row(spark):
+    from corpusloom import queries
+
+    data = [("hot", f"{k * 7919 % 5000:04d}") for k in range(2000)] + [("b", "01"), ("b", None), ("b", "é"), ("b", "0"), (None, "7"), (None, "3")]
+    made = win.interleaved(spark.createDataFrame(data, "s string, id string").repartition(7), "s", "id")
+    want = [(s, i, n) for group in ("hot", "b", None) for n, (s, i) in enumerate(sorted((d for d in data if d[0] == group), key=lambda d: (d[1] or "").encode()), 1)]
+    assert rows(made) == sorted(want, key=str)
+    numbers = spark.createDataFrame([("a", n) for n in (30, 4, 17, 8)], "s string, n int")
+    assert rows(win.interleaved(numbers, "s", "n", F.floor(F.col("n") / 10))) == rows(win.interleaved(numbers, "s", "n")) == [("a", 17, 3), ("a", 30, 4), ("a", 4, 1), ("a", 8, 2)]
+    folder = "/root/testdata/sf0.001"
+    every = queries.QUERIES["source_rotation_all"](spark, folder)
+    assert every.count() == spark.read.parquet(f"{folder}/selection.parquet").select("sample_id").distinct().count() > 42
+
+
 def test_summaries(spark):
     df = spark.createDataFrame([("a", 0.1), ("a", 0.3), ("a", 0.9), ("a", None), ("b", float("nan"))], "g string, v double")
     bins = agg.histogram(df, "v", 0.5, "g")
