@@ -156,7 +156,9 @@ def truncated(asr: DataFrame, lines: DataFrame) -> DataFrame:
     own = lines.select("sample_id", F.col("text").alias("line")).groupBy("sample_id").agg(F.max("line").alias("line"))
     found = features(ok.join(own, "sample_id", "left"))
     found = _at_limit(field_limits(found), found)
-    open_end = (~F.col("closed")) | F.col("broken") | (F.col("dots") & F.col("at_limit"))
+    short = F.col("line") == "short"
+    # three dots are speech that trails off unless a limit or the line shows that more was said
+    open_end = (~F.col("closed")) | F.col("broken") | (F.col("dots") & (F.col("at_limit") | short))
     last = found.where(open_end).select("last_word").distinct()
     known = vocabulary(ok, "text")
     nodes = known.where(F.length("word") > 1).select(F.explode(F.expr("transform(sequence(1, length(word) - 1), n -> substring(word, 1, n))")).alias("last_word")).join(last, "last_word", "left_semi").distinct().withColumn("prefix", F.lit(True))
@@ -168,7 +170,6 @@ def truncated(asr: DataFrame, lines: DataFrame) -> DataFrame:
     )
     judged = found.join(stats, "last_word", "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("unknown_prefix", "never_end")})
     evidence = F.col("at_limit") | F.col("broken") | (~F.col("looped") & (F.col("unknown_prefix") | F.col("never_end")))
-    short = F.col("line") == "short"
     cut = open_end & (short | (F.col("line").isin("none", "other") & evidence))
     return judged.select("sample_id", "dataset_id", "at_limit", "line", "unknown_prefix", "never_end", "looped", open_end.alias("open_end"), (open_end & evidence).alias("suspect"), cut.alias("cut"))
 

@@ -135,6 +135,14 @@ def test_truncation_by_the_method_alone(spark):
     assert got == {"cut": ("short", True, True), "comma": ("short", False, True), "same": ("same", True, False), "alone": ("none", True, True)}
 
 
+def test_a_short_text_is_open_whatever_its_dots(spark):
+    line = "the old radio was repaired near the pond by the people of the village"
+    data = [(f"l{k}", "ok", "src", f"{k} {line}"[:40] + "...") for k in range(6)] + [("longer", "ok", "src", f"{line} {line}.")] + [("trails", "ok", "src", f"{line}..."), ("nothing", "ok", "src", "the old radio was...")]
+    lines = [(d[0], f"{d[0][1:]} {line}.") for d in data if d[0].startswith("l") and d[0] != "longer"] + [("trails", f"{line}...")]
+    judged = truncation.truncated(spark.createDataFrame(data, "sample_id string, status string, dataset_id string, text string"), spark.createDataFrame(lines, "sample_id string, text string"))
+    assert {r.sample_id for r in judged.where("cut").collect()} == {f"l{k}" for k in range(6)}  # one longer text hides their limit
+
+
 def test_stated_splits(spark):
     cases = [
         ('{"original_split_group": "dev"}', "evaluation"), ('{"original_split": "Train-360"}', "training"), ('{"upstream": {"split": "held_out"}}', "evaluation"), ('{"original_split": null, "upstream": {"wav_path": "wavs/test/0001.wav"}}', "evaluation"),
