@@ -731,7 +731,8 @@ def stream_tumbling(spark, folder):
 
 @query
 def stream_sessions(spark, folder):
-    return stream.run_available(stream.sessions(_events(spark, folder), "ts", "30 minutes", "1 hour", "user_id"), "sessions")
+    """All sessions, those that are still open when the input ends too."""
+    return stream.run_available(stream.sessions(_events(spark, folder), "ts", "30 minutes", "1 hour", "user_id"), "sessions", "complete")
 
 
 @query

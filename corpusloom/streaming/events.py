@@ -31,17 +31,24 @@ def tail_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_available(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Runs a streaming query over all available input and gives what it wrote."""
+    """Runs a streaming query over all available input and gives what it wrote.
+
+    In append mode windows and sessions that the watermark hasn't passed when the input ends
+    are not written; in complete mode they are, and the last batch is the whole result.
+    """
     spark = df.sparkSession
     base = f"{shared_folder(spark)}/stream-{name}-{uuid.uuid4().hex}"
     out = f"{base}/data"
+    last = "*"
 
     def write(batch: DataFrame, number: int) -> None:
+        nonlocal last
+        last = number if mode == "complete" else last
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     query = df.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return spark.read.schema(df.schema).option("basePath", out).parquet(f"{out}/batch=*").select(*df.columns)
+    return spark.read.schema(df.schema).option("basePath", out).parquet(f"{out}/batch={last}").select(*df.columns)
 
 
 def tumbling_counts(events: DataFrame, time: str, width: str, late: str, *by: str) -> DataFrame:

@@ -212,6 +212,16 @@ def test_snapshots(spark, tmp_path):
     assert sinks.journal(fails, f"{root}/journal").count() == 2
 
 
+def test_sessions_open_at_the_end(spark):
+    from corpusloom import queries
+
+    folder = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{folder}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    want = events.groupBy(F.session_window("ts", "30 minutes").alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n")).select("user_id", "w.start", "w.end", "n")
+    assert rows(queries.QUERIES["stream_sessions"](spark, folder)) == rows(want)
+    assert want.where(F.col("end") > events.agg(F.max("ts")).first()[0]).count() > 0
+
+
 def test_streams(spark, tmp_path):
     path = str(tmp_path / "ev")
     data = [(i, f"u{i % 2}", f"2026-01-01 {h:02d}:{m:02d}:00") for i, (h, m) in enumerate([(0, 0), (0, 5), (0, 10), (0, 15), (3, 0), (9, 0)])]
