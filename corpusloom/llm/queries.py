@@ -46,12 +46,12 @@ def p3_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    found = leakage.overlaps(table(spark, folder, "selection"))
+    found = leakage.Leaks(table(spark, folder, "selection")).pairs()
     return found.select(F.least("t_sample", "e_sample").alias("sample_id_a"), F.greatest("t_sample", "e_sample").alias("sample_id_b")).distinct()
 
 
 def p4_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return leakage.overlap_counts(leakage.overlaps(table(spark, folder, "selection")))
+    return leakage.Leaks(table(spark, folder, "selection")).counts()
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:

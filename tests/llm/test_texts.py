@@ -1,5 +1,7 @@
 import random
 
+import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,10 +165,26 @@ def distance(a, b):
 
 
 def test_segments_outnumber_edits():
-    for t in range(leakage.MIN_DENSE, 1500):
+    size = leakage._size_of(np.arange(6000))
+    for t in [*range(leakage.MIN_DENSE, 1500), *range(1500, 6000, 37)]:
         for e in (t - t // 10, t, int(t / 0.9), int(t / 0.9) + 1):
             if abs(t - e) * leakage.CHARS_PER_EDIT <= max(t, e):
-                assert t // leakage.segment_size(t) > max(t, e) // leakage.CHARS_PER_EDIT
+                assert t // size[t] > max(t, e) // leakage.CHARS_PER_EDIT
+
+
+def test_sketches_bound_the_edits(spark):
+    """Whatever is edited before or after a segment, the bound never exceeds the edits."""
+    rng = random.Random(4)
+    a = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz\u4e00\u4e01") for _ in range(rng.choice([60, 200, 900]))) for _ in range(80)]
+    edits = [rng.randint(0, 40) for _ in a]
+    b = [mutated(rng, x, k, "abcxyz") for x, k in zip(a, edits)]
+    both = []
+    for texts in (a, b):
+        lines = leakage._Lines(texts)
+        both.append(lines.sketches(np.arange(len(texts)), lines.end)[0].tolist())
+    df = spark.createDataFrame([(x, y, len(p) - len(q), k) for x, y, p, q, k in zip(*both, a, b, edits)], "x long, y long, moved long, k int")
+    found = df.select("k", (F.expr(leakage._apart("x", "y")) + F.abs("moved")).alias("bound"), F.expr(leakage._apart("x", "x")).alias("zero")).collect()
+    assert all(r.bound <= 2 * r.k and r.zero == 0 for r in found) and sum(r.bound > 0 for r in found) > 60
 
 
 def mutated(rng, text, edits, alphabet):
@@ -189,15 +207,18 @@ def test_near_lines_against_brute_force(spark):
         train.append(line)
         test.append(mutated(rng, line, max(0, n // 10 + rng.choice([-8, -4, -1, 0, 0, 1])), letters))
     loops = "abcdefg" * 40
-    train, test = sorted({*train, loops}), sorted({*test, loops[3:], loops[:-20]})
+    long = ["".join(rng.choice(alphabet) for _ in range(n)) for n in (1000, 1023, 1024, 1100, 2040, 2049)]  # around the borders of stretches
+    train, test = sorted({*train, loops, *long}), sorted({*test, loops[3:], loops[:-20], *(mutated(rng, x, len(x) // 12, alphabet) for x in long)})
     t = spark.createDataFrame(list(enumerate(train)), "class_id long, line string")
     e = spark.createDataFrame(list(enumerate(test)), "class_id long, line string")
     got = {(r.t_line, r.e_line): r.edits for r in leakage.near_lines(t, e).collect()}
     want = {}
     for a in train:
         for b in test:
-            if abs(len(a) - len(b)) * 10 <= max(len(a), len(b)) and set(a) & set(b) and (d := distance(a, b)) * 10 <= max(len(a), len(b)):
-                want[a, b] = d
+            if abs(len(a) - len(b)) * 10 <= max(len(a), len(b)) and set(a) & set(b):
+                d = duckdb.execute("SELECT levenshtein(?, ?)", [a, b]).fetchone()[0] if a.isascii() and b.isascii() else distance(a, b)
+                if d * 10 <= max(len(a), len(b)):
+                    want[a, b] = d
     assert got == want and len(want) > 20
 
 
@@ -210,11 +231,24 @@ def test_overlaps(spark):
         ("n1", "d", None, line, h), ("n2", "d", "{broken", line, h), ("e4", "x", test, "short", None), ("t4", "d", train, "short", ""), ("e5", "x", test, "", ""),
     ]
     df = spark.createDataFrame(data, "sample_id string, dataset_id string, metadata_json string, text string, audio_sha256 string").withColumns({"side": F.lit("x"), "line": F.lit("y")})
-    got = {(r.t_sample, r.e_sample, r.by_audio, r.by_line) for r in leakage.overlaps(df).collect()}
+    got = {(r.t_sample, r.e_sample, r.by_audio, r.by_line) for r in leakage.Leaks(df).pairs().collect()}
     assert got == {("t1", "e1", False, True), ("t2", "e1", False, True), ("t1", "e2", True, False)}
-    counts = leakage.overlap_counts(leakage.overlaps(df)).collect()
+    counts = leakage.Leaks(df).counts().collect()
     assert [tuple(c) for c in counts] == [("test", "x", "d", 3, 1, 2)]
-    assert leakage.overlaps(df.limit(0)).collect() == []
+    assert leakage.Leaks(df.limit(0)).pairs().collect() == []
+
+
+def test_counts_equal_the_expanded_pairs(spark):
+    """Hot hashes, hot lines, both together, and a sample that states both sides."""
+    rng = random.Random(6)
+    base = ["the quick brown fox jumps over the lazy dog and runs away from the old mill " * 3, "when did she lend you the blue notebook near the bakery after the storm " * 3]
+    lines = [x.replace("the", w, k) for x in base for w in ("the", "thy") for k in (1, 3)] + ["short", None]
+    hashes = ["ab" * 32, "cd" * 32, None, "ef" * 32]
+    data = [(f"s{k}", f"d{k % 3}", f'{{"original_split": "{rng.choice(["train", "test", "dev", "none"])}"}}', lines[0] if k % 3 == 0 else rng.choice(lines), hashes[0] if k % 4 == 0 else rng.choice(hashes)) for k in range(120)]
+    data += data[:30] + [(s, d, '{"original_split": "train"}', t, h) for s, d, _, t, h in data[:10]]
+    leaks = leakage.Leaks(spark.createDataFrame(data, "sample_id string, dataset_id string, metadata_json string, text string, audio_sha256 string"))
+    want = leaks.pairs().groupBy("e_split", "e_dataset", "t_dataset").agg(F.count(F.lit(1)), F.count_if("by_audio"), F.count_if("by_line"))
+    assert sorted(map(tuple, leaks.counts().collect())) == sorted(map(tuple, want.collect())) != []
 
 
 def test_survivors(spark):
