@@ -176,6 +176,7 @@ class ByteBpe:
         most = max(self.text) + 1
         self.shorter = [self._longest_below(self.text.get(k, "")) for k in range(most)]
         self.bytes = [len(self.text.get(k, "")) for k in range(most)]
+        self.longest = max(self.bytes)
         self.parts: dict[int, tuple[int, int]] = {}
         self.whole: dict[tuple[int, int], int] = {}
         self.beside: dict[tuple[int, int], bool] = {}
@@ -424,3 +425,16 @@ def chunks(texts: list[str | None], most_chars: int = 1 << 20):
         total += n
     if begin < len(texts):
         yield begin, len(texts)
+
+
+def byte_chunks(column, most_bytes: int = 1 << 20):
+    """(from, to) of stretches of an Arrow string column of about so many bytes, so that Python holds no more of it at once."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(ends):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + most_bytes, side="right")))
+        yield begin, end
+        begin = end

@@ -6,10 +6,14 @@ seen it, plus the escapes (method C) from the longer ones, down to a uniform ord
 frozen counts the code length of a byte depends on ORDER + 1 bytes only, so it is looked up
 once for each distinct window of a batch.
 
-A text's language has the shortest code.  Where sentences disagree, the cheapest sequence of
-languages over the words is sought, with a price for each change that is low between
-sentences and high inside one; its runs are the segments of a mixed text.  What stands in
-brackets or quotation marks counts for no language.
+A text's language has the shortest code.  Where sentences disagree, or the bytes of a sentence
+do, the cheapest sequence of languages is sought, with a price for each change that is low
+between sentences and high inside one; its runs are the segments of a mixed text.  A sentence is
+cut into words if some stretch of it is so much shorter in another language that a change might
+pay, whatever its length.  What stands in brackets or quotation marks counts for no language.
+
+The trees are frozen on the driver, once, and broadcast; their size is bounded by that of the
+training table, which is checked.
 
 Null and blank texts and texts without letters have no language.
 """
@@ -32,8 +36,6 @@ from corpusloom.llm.bpe import LETTER, chunks, class_table
 ORDER = 5
 #: Bits that a change of language costs between sentences, and inside one.
 CHANGE, CHANGE_INSIDE = 14.0, 70.0
-#: Letters a sentence without any boundary has at most before its words are looked at.
-LONG_UNIT = 200
 #: Letters from which a label is judged, and the lower number for languages written densely.
 MIN_LETTERS, MIN_DENSE = 30, 12
 DENSE = ["ja", "ko", "zh"]
@@ -42,7 +44,6 @@ MOST_SAMPLES = 100_000
 
 _ASIDE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|（[^（）]*）|【[^【】]*】|「[^「」]*」|『[^『』]*』|《[^《》]*》|“[^“”]*”|„[^„“”]*[“”]|«[^«»]*»|\"[^\"]*\"|<[^<>]*>|♪[^♪]*♪")
 _BOUND = re.compile(r"[.!?…]+[\"'”’»)\]]*\s+|[。！？]+[」』）”]*\s*|[\r\n]+\s*|\s+/\s+")
-_LOOP = re.compile(r"(\S+\s+)\1+")
 _STUTTER = re.compile(r"(\S{2,20}?)\1{3,}")
 _FRAGMENT = re.compile(r"\s*[^\W\d_\u3040-\u9fff\uac00-\ud7af]*[,;:]?\s*[^\W\d_\u3040-\u9fff\uac00-\ud7af]*[,;:]?\s*")
 _WORD = re.compile(r"\s+|(?<=[、，；：])")
@@ -131,6 +132,13 @@ def plain(text: str) -> str:
     return bare if any(map(str.isalpha, bare)) else low
 
 
+def without_loops(text: str) -> str:
+    """The text with what is said several times on end said once: words, and stuttered parts of words."""
+    parts = _STUTTER.sub(r"\1\1", text)
+    spoken = re.findall(r"\s*\S+\s*", parts)
+    return "".join(w for k, w in enumerate(spoken) if not k or w != spoken[k - 1])
+
+
 def units(text: str) -> list[str]:
     """Sentences of a text with the marks and white space after them."""
     cuts = [0, *(m.end() for m in _BOUND.finditer(text))]
@@ -169,50 +177,55 @@ class Identifier:
         sizes = np.array([len(r) for r in raws], np.int64)
         first = np.cumsum(per_text) - per_text
         wholes = [b"".join(raws[a : a + n]) for a, n in zip(first.tolist(), per_text.tolist())]
-        table, window, begin = self.ppm.bits(wholes)
+        table, window, _ = self.ppm.bits(wholes)
         starts = np.cumsum(sizes) - sizes
         cost = np.empty((len(raws), len(self.ppm.names)), np.float64)
         for k in range(cost.shape[1]):
             cost[:, k] = np.add.reduceat(table[:, k][window], starts)
         total = np.add.reduceat(cost, first)
-        lead = total.argmin(1)
-        calm = (cost.argmin(1) == np.repeat(lead, per_text)) & (sizes < LONG_UNIT)
-        settled = np.logical_and.reduceat(calm, first)
+        best = cost.argmin(1)
+        divided = self._gain_inside(table, window, starts, sizes, best) > CHANGE_INSIDE / 2
+        settled = np.logical_and.reduceat((best == np.repeat(total.argmin(1), per_text)) & ~divided, first)
         out: list[list[tuple[str, float]]] = []
         for k, done in enumerate(settled.tolist()):
             a, n = int(first[k]), int(per_text[k])
-            if not done and (short := _LOOP.sub(r"\1", _STUTTER.sub(r"\1\1", texts[k]))) != texts[k]:
+            if not done and (short := without_loops(texts[k])) != texts[k]:
                 out += self.runs([short])  # what is said over and over is no sentence of its own
                 continue
-            out.append([self._run(total[k])] if done else self._search(parts[k], cost[a : a + n], table, window, int(begin[k])))
+            out.append([self._run(total[k])] if done else self._search(parts[k], cost[a : a + n], divided[a : a + n], table, window, starts[a : a + n]))
         return out
 
+    @staticmethod
+    def _gain_inside(table: np.ndarray, window: np.ndarray, starts: np.ndarray, sizes: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """The most bits that another language saves on a stretch of each sentence, against the sentence's best language."""
+        own = table[window, np.repeat(best, sizes)].astype(np.float64)
+        most = np.zeros(len(sizes))
+        for k in range(table.shape[1]):
+            gain = own - table[:, k][window]
+            before = np.cumsum(gain) - gain
+            before -= np.repeat(before[starts], sizes)
+            step = np.repeat(np.arange(len(sizes)) * (np.ptp(before) + 1), sizes)  # lowers each sentence below the last, so the running least begins anew
+            up = before + gain - (np.minimum.accumulate(before - step) + step)
+            most = np.maximum(most, np.maximum.reduceat(up, starts))
+        return most
+
     def _run(self, bits: np.ndarray) -> tuple[str, float]:
         gap = np.minimum(bits - bits.min(), 60)
         return self.ppm.names[int(bits.argmin())], float(1 / np.exp2(-gap).sum())
 
-    def _search(self, sentences: list[str], cost: np.ndarray, table: np.ndarray, window: np.ndarray, begin: int) -> list[tuple[str, float]]:
+    def _search(self, sentences: list[str], cost: np.ndarray, divided: np.ndarray, table: np.ndarray, window: np.ndarray, starts: np.ndarray) -> list[tuple[str, float]]:
         rows, change = [], []
-        at = begin
         for k, s in enumerate(sentences):
-            n = len(s.encode())
-            cuts = [0, *(m.end() for m in _WORD.finditer(s))] if n >= LONG_UNIT else [0]
-            if cuts[-1] < len(s):
-                cuts.append(len(s))
-            if len(cuts) <= 2:
-                fragment = _FRAGMENT.fullmatch(s)  # too little to be a sentence: no evidence
-                rows.append(np.zeros_like(cost[k]) if fragment else cost[k])
-                change.append(CHANGE)
-            else:
-                for j, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    size = len(s[a:b].encode())
-                    if size:
-                        rows.append(table[window[at : at + size]].sum(0, dtype=np.float64))
-                        change.append(CHANGE if j == 0 else CHANGE_INSIDE)
-                        at += size
+            change.append(CHANGE)
+            if not divided[k]:
+                rows.append(np.zeros((1, cost.shape[1])) if _FRAGMENT.fullmatch(s) else cost[k : k + 1])  # a fragment is too little to be a sentence: no evidence
                 continue
-            at += n
-        bits = np.array(rows)
+            cuts = [0, *(m.end() for m in _WORD.finditer(s)), len(s)]
+            size = np.array([n for a, b in zip(cuts, cuts[1:]) if (n := len(s[a:b].encode()))])
+            at = int(starts[k])
+            rows.append(np.add.reduceat(table[window[at : at + int(size.sum())]].astype(np.float64), np.cumsum(size) - size))
+            change += [CHANGE_INSIDE] * (len(size) - 1)
+        bits = np.concatenate(rows)
         path = best_path(bits, np.array(change))
         out = []
         a = 0
@@ -235,28 +248,27 @@ def label_key(label: str) -> str:
     return label.strip().lower().replace("-", "_")
 
 
-def read_samples(samples: DataFrame) -> list[tuple[str, str]]:
-    """Training texts; a fixed table, whose size is checked before it comes to the driver."""
-    rows = samples.select("language", "text").where("language is not null and text is not null").limit(MOST_SAMPLES + 1).collect()
-    if len(rows) > MOST_SAMPLES:
-        raise ValueError(f"more than {MOST_SAMPLES} training texts")
-    return sorted((r[0], r[1]) for r in rows)
+def bounded(df: DataFrame, columns: list[str], most: int) -> list[tuple]:
+    """All rows of a fixed table on the driver; more than `most` are an error."""
+    rows = df.select(*columns).where(" and ".join(f"{c} is not null" for c in columns)).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows of {columns}")
+    return sorted(map(tuple, rows))
 
 
 def identify(df: DataFrame, key: str, text: str, label: str, samples: DataFrame, aliases: DataFrame) -> DataFrame:
     """(key, segment_no, language, confidence, letters, runs, labelled): the languages of each text with letters.
 
     segment_no is 0 for a text of one language; the runs of a mixed text are numbered from
-    1.  labelled is the language that the label stands for, null for none.
+    1.  labelled is the language that the label stands for, null for none.  samples and
+    aliases are fixed tables of at most MOST_SAMPLES rows.
     """
-    known = read_samples(samples)
-    names = {label_key(r[0]): r[1] for r in aliases.select("alias", "language").where("alias is not null").limit(MOST_SAMPLES).collect()}
-    made: list[Identifier] = []
+    names = {label_key(a): language for a, language in bounded(aliases, ["alias", "language"], MOST_SAMPLES)}
+    frozen = df.sparkSession.sparkContext.broadcast(Identifier(bounded(samples, ["language", "text"], MOST_SAMPLES)))
     columns = [key, "segment_no", "language", "confidence", "letters", "runs", "labelled"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not made:
-            made.append(Identifier(known))
+        known = frozen.value
         for batch in batches:
             texts = batch.column(1).to_pylist()
             labels = batch.column(2).to_pylist()
@@ -265,7 +277,7 @@ def identify(df: DataFrame, key: str, text: str, label: str, samples: DataFrame,
                 some = full[a:b]
                 mine = [texts[k] for k in some]
                 rows = []
-                for k, found, n in zip(some, made[0].runs(mine), letters(mine).tolist()):
+                for k, found, n in zip(some, known.runs(mine), letters(mine).tolist()):
                     if n:
                         stands = names.get(label_key(labels[k])) if labels[k] else None
                         rows += [(k, no if len(found) > 1 else 0, lang, sure, n, len(found), stands) for no, (lang, sure) in enumerate(found, 1)]

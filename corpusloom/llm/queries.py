@@ -37,7 +37,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_suspects(spark: SparkSession, folder: str) -> DataFrame:
-    """What trie and field limits find by themselves, with how the text stands to the sample's line."""
+    """What trie and field limits find, before the check against the sample's line, with how the text stands to it."""
     return _truncated(spark, folder).where("suspect").select("sample_id", "line", "cut").distinct()
 
 

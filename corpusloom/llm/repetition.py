@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.languages import MOST_SAMPLES, bounded
+
 MIN_WORDS, WORD_RUN = 20, 5
 MIN_CHARS, CHAR_RUN = 40, 10
 FOUND_SHARE = 0.4
@@ -118,8 +120,8 @@ def divergence(df: DataFrame, key: str, text: str, references: DataFrame) -> Dat
     rows.  Texts below the minimum lengths have nulls.
     """
     known: dict[str, list[str]] = {}
-    for row in references.select("language", "text").where("language is not null and text is not null").collect():
-        known.setdefault(row[0], []).append(row[1])
+    for language, sample in bounded(references, ["language", "text"], MOST_SAMPLES):
+        known.setdefault(language, []).append(sample)
     made = {}
     for language, texts in sorted(known.items()):
         words = word_counts(" ".join(texts))

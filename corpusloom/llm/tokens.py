@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bpe import DEFAULT_DIR, DEFAULT_VOCAB, chunks, encoder
+from corpusloom.llm.bpe import DEFAULT_DIR, DEFAULT_VOCAB, byte_chunks, encoder
 
 
 def encode_corpus(df: DataFrame, key: str, text: str, directory: str = DEFAULT_DIR, vocab: str = DEFAULT_VOCAB) -> DataFrame:
@@ -22,9 +22,8 @@ def encode_corpus(df: DataFrame, key: str, text: str, directory: str = DEFAULT_D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(directory, vocab)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in chunks(texts):
-                ids, offsets = bpe.encode(texts[a:b])
+            for a, b in byte_chunks(batch.column(1)):
+                ids, offsets = bpe.encode(batch.column(1)[a:b].to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names)
 
@@ -39,8 +38,8 @@ def token_counts(df: DataFrame, keep: list[str], text: str, directory: str = DEF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(directory, vocab)
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            sizes = np.concatenate([bpe.counts(texts[a:b]) for a, b in chunks(texts)] or [np.zeros(0, np.int64)])
+            texts = batch.column(len(keep))
+            sizes = np.concatenate([bpe.counts(texts[a:b].to_pylist()) for a, b in byte_chunks(texts)] or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(sizes, pa.int64())], [*keep, "n_tokens"])
 
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
@@ -62,54 +61,42 @@ def pack_group(items: list[tuple[int, int, int]], capacity: int, source_exclusiv
     residuals finds the tightest ones, and the search goes on to the next residual until a
     container is compatible.  A container never holds two items of one cluster (cluster -1
     conflicts with nothing); containers without the item's source are preferred among
-    equally tight ones, or required if `source_exclusive`.  Empty items fit anywhere.
+    equally tight ones, or required if `source_exclusive`; the lowest number breaks ties.
+    Empty items fit anywhere.  Residuals, clusters and sources each have a bitmap of the
+    containers they are true of, so that all equally tight containers are judged at once.
     """
     order = sorted(range(len(items)), key=lambda k: (-items[k][0], items[k][1], k))
-    open_at: list[list[int]] = [[] for _ in range(capacity + 1)]
+    open_at = [0] * (capacity + 1)
     residuals = 0
-    clusters: list[set[int]] = []
-    sources: list[int] = []
+    holds_cluster: dict[int, int] = {}
+    holds_source: dict[int, int] = {}
     at = [0] * len(items)
+    made = 0
     for k in order:
         size, cluster, source = items[k]
-        bit = 1 << source
+        taken, seen = holds_cluster.get(cluster, 0), holds_source.get(source, 0)
         mask = residuals >> size << size
-        chosen, spot = -1, -1
-        while mask:
+        fits = residual = 0
+        while mask and not fits:
             residual = (mask & -mask).bit_length() - 1
             mask &= mask - 1
-            fallback = -1
-            for j, number in enumerate(open_at[residual]):
-                if cluster >= 0 and cluster in clusters[number]:
-                    continue
-                if not sources[number] & bit:
-                    chosen, spot = number, j
-                    break
-                if fallback < 0 and not source_exclusive:
-                    fallback = j
-                    if len(open_at[residual]) > 64:  # many equally tight ones: the first compatible will do
-                        break
-            if chosen < 0 and fallback >= 0:
-                chosen, spot = open_at[residual][fallback], fallback
-            if chosen >= 0:
-                break
-        if chosen < 0:
-            chosen, residual = len(clusters), capacity
-            clusters.append(set())
-            sources.append(0)
+            free = open_at[residual] & ~taken
+            fits = free & ~seen or (0 if source_exclusive else free)
+        if fits:
+            bit = fits & -fits
+            open_at[residual] ^= bit
+            if not open_at[residual]:
+                residuals ^= 1 << residual
         else:
-            here = open_at[residual]
-            here[spot] = here[-1]
-            here.pop()
-            if not here:
-                residuals &= ~(1 << residual)
+            bit, residual = 1 << made, capacity
+            made += 1
         if cluster >= 0:
-            clusters[chosen].add(cluster)
-        sources[chosen] |= bit
+            holds_cluster[cluster] = taken | bit
+        holds_source[source] = seen | bit
         residual -= size
-        open_at[residual].append(chosen)
+        open_at[residual] |= bit
         residuals |= 1 << residual
-        at[k] = chosen
+        at[k] = bit.bit_length() - 1
     return at
 
 
@@ -122,7 +109,7 @@ def pack(df: DataFrame, key: str, text: str, source: str, capacity: int = CAPACI
     Null and empty texts take no room and get a container, too.  `key` is unique.
     """
     sized = token_counts(df.select(F.col(key), F.xxhash64(text).alias("__cluster"), F.xxhash64(source).alias("__source"), F.col(text)), [key, "__cluster", "__source"], text, directory, vocab)
-    groups = max(1, round(df.select(key).count() / group_items))
+    groups = max(1, round(df.count() / group_items))  # no column is read for it
     kind = df.schema[key].dataType.simpleString()
 
     def run(pdf):
@@ -134,7 +121,7 @@ def pack(df: DataFrame, key: str, text: str, source: str, capacity: int = CAPACI
         for name, cluster, source_hash, tokens in pdf.sort_values(["__source", "__cluster", key])[[key, "__cluster", "__source", "n_tokens"]].itertuples(index=False):
             for part, begin in enumerate(range(0, max(tokens, 1), capacity), 1):
                 size = min(capacity, tokens - begin)
-                # parts of one oversized text may meet; copies of a text may not
+                # parts of a text are of one cluster, like its copies; only one of them is smaller than a container
                 own = clusters.setdefault(cluster, len(clusters)) if tokens else -1
                 rows.append((name, part, begin, size))
                 items.append((size, own, numbers[source_hash]))

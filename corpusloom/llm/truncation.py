@@ -1,177 +1,290 @@
 """Texts that were cut by a field limit or a broken transfer.
 
-The corpus's own words form a trie, kept as a table of prefixes, with counts of how often a
-word ends a sentence.  A text without a final mark is suspect if its last word is unknown
-but a proper prefix of known words, or known and hardly ever the end of a sentence, or if
-the texts of its source pile up at its greatest length in characters, bytes or words, which
-shows a field limit.  That is the method by itself (`suspect`).  Where the sample has a line
-of its own, another method decides (`cut`): a text that is a proper prefix of the line is
-short of it, suspect or not, and one that equals it isn't cut.
+The corpus's own words form a trie, kept as a table of hashed prefixes, with counts of how
+often a word is followed by more and how often by the end of a sentence.  Words stand in it
+by themselves and after the word before them (in writing without spaces: runs of four and of
+two characters).  A text without a final mark is suspect if its last word is unknown but a
+proper prefix of known ones, or known and hardly ever the end of a sentence, or if it ends
+in a comma, or if it is as long, in characters, bytes or words, as so many texts of its
+source that this length is a field limit.  A text whose last word is a prefix, or that ends at
+a limit, is suspect even if it is known nowhere else that more was said.
+
+An exact check follows: a suspect text that equals the sample's own line isn't cut.  Nothing
+else is taken from that line; it makes no text suspect.
 
 Null and blank texts are no case.  A text that only lacks its final mark, or trails off
-with a dash or an ellipsis, isn't one either.
+with a dash or an ellipsis, isn't one either (three dots are a mark of the field where texts
+pile up at its limit).  Repeated rows count once; texts of any length are read whole.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A word counts as known to go on if it was seen so often before another, and at most once
-#: in so many cases at the end of a sentence.
+from corpusloom.functions.hashes import filled
+from corpusloom.llm.bpe import chunks
+from corpusloom.shared import materialised
+
+#: A word goes on if it was seen so often before more, and at most once in so many cases at the end of a sentence.
 SEEN_OFTEN, SELDOM = 10, 200
-#: Texts that must stand at a source's greatest length, and their least share of the texts near it.
-PILE, PILE_SHARE = 5, 0.5
-GRAM = 4
+#: A field limit: so many texts of a source at one length, and their least share of those of about that length.
+PILE, PILE_SHARE, NEAR = 5, 0.5, 10
+#: Measures of a text's length, and how far below a limit a text may end that the limit cut (a byte limit cuts inside characters).
+MEASURES = {"n_chars": 0, "n_bytes": 3, "n_words": 0}
+#: Runs of characters that stand for words in writing without spaces.
+GRAM, SHORT_GRAM = 4, 2
+#: Parts into which the rows of one last word are split.
+SALTS = 16
 BROKEN = "�"
 
 _ASIDE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|（[^（）]*）|<[^<>]*>|♪")
 _WORD = re.compile(r"[^\W_]+")
 _DENSE = re.compile(r"[぀-ヿ㐀-鿿]")
-_END = re.compile(r"[.!?。！？]")
-#: After these nothing is known: speech trails off, or a line without marks ends.
-_OPEN = re.compile(r"[…—–\r\n-]")
-_TRAILS = re.compile(r"(?:…|—|–|--)[\s\"'”’»」』）)]*$")
-_CLOSED = re.compile(r"[.!?。！？…—–][\s\"'”’»」』）)]*$|[」』”»）)\]>♪][\s.]*$")
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_FINAL = ".!?。！？"
+_TRAILING = "…—–"
+_CLOSERS = "」』”»）)]>♪"
+#: After these nothing is known of what follows: speech trails off, or a line without marks ends.
+_UNKNOWN = _TRAILING + "\r\n-"
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_MIX = 0xBF58476D1CE4E5B9
 
 
 def reduced(text: str) -> str:
     """Letters and digits after NFKC and case folding, without sounds in brackets."""
-    return "".join(_WORD.findall(unicodedata.normalize("NFKC", _ASIDE.sub(" ", text)).casefold()))
+    return "".join(_WORD.findall(folded(_ASIDE.sub(" ", text))))
+
 
+def folded(text: str) -> str:
+    return text.casefold() if text.isascii() else unicodedata.normalize("NFKC", text).casefold()
 
-def words(text: str) -> Iterator[tuple[str, int]]:
-    """(word, position after it); writing without spaces gives its runs of GRAM characters."""
+
+def words(text: str) -> Iterator[tuple[str, str, int]]:
+    """(word before, word, position after it) of a folded text; writing without spaces gives its runs of GRAM and of SHORT_GRAM characters, with nothing before them."""
+    before = ""
     for m in _WORD.finditer(text):
         word = m.group()
         if _DENSE.search(word):
-            for k in range(max(1, len(word) - GRAM + 1)):
-                yield word[k : k + GRAM], m.start() + min(k + GRAM, len(word))
+            for n in (GRAM, SHORT_GRAM):
+                for k in range(max(1, len(word) - n + 1)):
+                    yield "", word[k : k + n], m.start() + min(k + n, len(word))
+            before = ""
         else:
-            yield word, m.end()
-
-
-def count_words(texts: list[str]) -> dict[str, list[int]]:
-    """word -> [how often it is followed by something, how often by the end of a sentence]."""
-    found: dict[str, list[int]] = {}
+            yield before, word, m.end()
+            before = word
+
+
+def last_words(text: str) -> tuple[tuple[str, str], tuple[str, str]]:
+    """The (word before, word) under which a text's end is looked up: alone, and after the word before it."""
+    low = folded(text)
+    end = len(low)
+    found = []
+    for _ in range(2):
+        while end and not low[end - 1].isalnum():
+            end -= 1
+        start = end
+        while start and low[start - 1].isalnum():
+            start -= 1
+        found.append(low[start:end])
+        end = start
+    last, before = found
+    if _DENSE.search(last):
+        return ("", last[-GRAM:]), ("", last[-SHORT_GRAM:])
+    return ("", last), ("" if _DENSE.search(before) else before, last)
+
+
+def count_words(texts: list[str]) -> dict[tuple[str, str], list[int]]:
+    """(word before, word) -> [how often more follows, how often the end of a sentence]; each word also after '' for any word before.
+
+    A text without marks doesn't show where its sentences end, so its words are known but uncounted.
+    """
+    found: dict[tuple[str, str], list[int]] = {}
     for text in texts:
-        low = unicodedata.normalize("NFKC", text).casefold()
-        for word, end in words(low):
+        low = folded(text)
+        one = int(any(mark in low for mark in _FINAL))
+        for before, word, end in words(low):
             rest = low[end : end + 1]
-            if rest and not _OPEN.match(rest):  # nor is anything known about what follows the end of the text
-                found.setdefault(word, [0, 0])[bool(_END.match(rest))] += 1
+            if rest and rest not in _UNKNOWN:  # nor is anything known about what follows the end of the text
+                ends = rest in _FINAL
+                found.setdefault(("", word), [0, 0])[ends] += one
+                if before:
+                    found.setdefault((before, word), [0, 0])[ends] += one
     return found
 
 
-def last_word(text: str) -> str:
-    low = unicodedata.normalize("NFKC", text).casefold().rstrip(BROKEN + " \t\r\n")
-    last = ""
-    for last, _ in words(low[-64:]):
-        pass
-    return last
+class Keys:
+    """64-bit keys of many words and of all their prefixes at once, in time linear in their characters."""
+
+    def __init__(self, befores: list[str], tokens: list[str]):
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.end = np.cumsum(self.size)
+        self.start = self.end - self.size
+        self.sums, self.power = self._sums(tokens)
+        b_size = np.array([len(t) for t in befores], np.int64)
+        b_end = np.cumsum(b_size)
+        sums, power = self._sums(befores)
+        self.context = (sums[b_end] - sums[b_end - b_size]) * power[b_end - b_size] * _BASE + b_size.astype(np.uint64)
+
+    @staticmethod
+    def _sums(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        points = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        down = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(points), _INVERSE))])
+        up = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(points), _BASE))])
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(points * down[:-1], dtype=np.uint64)]), up
 
+    def of(self, which: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Keys of the first `length` characters of the words `which`."""
+        a = self.start[which]
+        hashed = (self.sums[a + length] - self.sums[a]) * self.power[a] + length.astype(np.uint64) * _BASE
+        mixed = (hashed ^ (hashed >> np.uint64(29)) ^ (self.context[which] << np.uint64(1))) * np.uint64(_MIX)
+        return ((mixed ^ (mixed >> np.uint64(32))) * _BASE).view(np.int64)
 
-def loops(text: str) -> bool:
-    """Whether a text ends in a loop: where it stops says nothing about a cut then."""
-    tail = text.rstrip()[-16:]
-    return len(tail) == 16 and text.count(tail) > 2
+    def whole(self) -> np.ndarray:
+        return self.of(np.arange(len(self.size)), self.size)
 
 
-def against(text: str, line: str | None) -> str:
-    """How a text stands to the sample's own line: none, same, short (a proper prefix) or other."""
-    if line is None or not line.strip():
-        return "none"
-    own, full = reduced(text.rstrip(BROKEN)), reduced(line)
-    return "same" if own == full else "short" if full.startswith(own) else "other"
+def closed(text: str) -> bool:
+    """Whether a text ends with a mark, or with something in brackets or quotation marks."""
+    bare = text.rstrip(_SPACES + "\"'”’»」』）)")
+    return bare[-1:] in set(_FINAL + _TRAILING) or text.rstrip(_SPACES + ".")[-1:] in set(_CLOSERS)
 
 
 def features(df: DataFrame) -> DataFrame:
-    """Per (sample_id, dataset_id, text, line): last word, lengths, final mark and relation to the line."""
-    columns = ["sample_id", "dataset_id", "last_word", "n_chars", "n_bytes", "n_words", "closed", "dots", "broken", "looped", "line"]
+    """(sample_id, dataset_id, last_key, pair_key, n_chars, n_bytes, n_words, closed, dots, comma, broken) of each (sample_id, dataset_id, text)."""
+    schema = "sample_id string, dataset_id string, last_key bigint, pair_key bigint, n_chars bigint, n_bytes bigint, n_words bigint, closed boolean, dots boolean, comma boolean, broken boolean"
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, line in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                bare = text.rstrip(BROKEN)
-                tail = text[-64:]
-                rows.append((last_word(text), len(text), len(bare.encode()), text.count(" ") + 1, bool(_CLOSED.search(tail)), tail.endswith("...") and not tail.endswith("...."), text.rstrip().endswith(BROKEN), loops(bare), against(text, line)))
-            cols = list(zip(*rows)) or [[]] * 9
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, k) for c, k in zip(cols, kinds)]], columns)
+            texts = batch.column(2).to_pylist()
+            bare = [t.rstrip(BROKEN) for t in texts]
+            ends = [last_words(t.rstrip(_SPACES + BROKEN)) for t in texts]
+            keys = [pa.array(Keys([e[k][0] for e in ends], [e[k][1] for e in ends]).whole()) for k in (0, 1)]
+            lengths = [pa.array(x, pa.int64()) for x in ([len(t) for t in texts], [len(b.encode()) for b in bare], [t.count(" ") + 1 for t in texts])]
+            marks = [[closed(t) for t in texts], [t.endswith("...") and not t.endswith("....") for t in texts], [t.rstrip(_SPACES)[-1:] in (",", "、", "，") for t in texts], [t.rstrip(_SPACES).endswith(BROKEN) for t in texts]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *keys, *lengths, *[pa.array(m, pa.bool_()) for m in marks]], names)
 
-    schema = "sample_id string, dataset_id string, last_word string, n_chars bigint, n_bytes bigint, n_words bigint, closed boolean, dots boolean, broken boolean, looped boolean, line string"
-    return df.select("sample_id", "dataset_id", "text", "line").mapInArrow(run, schema)
+    return df.select("sample_id", "dataset_id", "text").mapInArrow(run, schema)
 
 
-def vocabulary(df: DataFrame, text: str) -> DataFrame:
-    """(word, goes_on, ends) over all texts, counted per batch before the shuffle."""
+def vocabulary(df: DataFrame) -> DataFrame:
+    """(before, word, goes_on, ends) over all texts, counted per batch before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = count_words([t for t in batch.column(0).to_pylist() if t])
+            found = count_words(batch.column(0).to_pylist())
             pairs = list(found.values())
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["word", "goes_on", "ends"])
+            yield pa.RecordBatch.from_arrays([*[pa.array([w[k] for w in found], pa.string()) for k in (0, 1)], *[pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]], ["before", "word", "goes_on", "ends"])
 
-    return df.select(text).mapInArrow(run, "word string, goes_on bigint, ends bigint").groupBy("word").agg(F.sum("goes_on").alias("goes_on"), F.sum("ends").alias("ends"))
+    return df.select("text").mapInArrow(run, "before string, word string, goes_on bigint, ends bigint").groupBy("before", "word").agg(F.sum("goes_on").alias("goes_on"), F.sum("ends").alias("ends"))
+
+
+def trie(known: DataFrame) -> DataFrame:
+    """(key, goes_on, ends) of each word, and (key, null, null) of each proper prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            befores, tokens = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in chunks(tokens, 1 << 18):
+                keys, some = Keys(befores[a:b], tokens[a:b]), slice(a, b)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.whole()), batch.column(2)[some], batch.column(3)[some]], names)
+                which = np.repeat(np.arange(b - a), keys.size - 1)
+                length = np.arange(len(which)) - np.repeat(np.cumsum(keys.size - 1) - (keys.size - 1), keys.size - 1) + 1
+                none = pa.nulls(len(which), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(keys.of(which, length)), none, none], names)
+
+    names = ["key", "goes_on", "ends"]
+    return known.select("before", "word", "goes_on", "ends").mapInArrow(run, "key bigint, goes_on bigint, ends bigint")
 
 
 def field_limits(found: DataFrame) -> DataFrame:
-    """(dataset_id, measure, most): the greatest length of a source at which its texts pile up.
+    """(dataset_id, measure, size): lengths of texts that a field limit of their source explains.
 
-    measure is n_chars, n_bytes or n_words (parts between blanks).  A byte limit may cut inside a character, so
-    lengths up to three bytes below count as at it.
+    A limit is a length at which at least PILE texts stand, and PILE_SHARE of all texts that
+    are up to NEAR units, or from a hundred units on up to NEAR percent, shorter or longer.  A
+    source may have several, and longer texts beside them.  Only the distinct lengths of a
+    source are ordered.
     """
-    long = found.select("dataset_id", F.expr("stack(3, 'n_chars', n_chars, 'n_bytes', n_bytes, 'n_words', n_words) as (measure, size)")).groupBy("dataset_id", "measure", "size").count()
-    tops = long.groupBy("dataset_id", "measure").agg(F.max("size").alias("most"))
-    slack = F.when(F.col("measure") == "n_bytes", 3).otherwise(0)
-    near = long.join(tops, ["dataset_id", "measure"]).groupBy("dataset_id", "measure", "most").agg(
-        F.sum(F.when(F.col("size") >= F.col("most") - slack, F.col("count"))).alias("at"), F.sum(F.when(F.col("size") >= F.col("most") * 0.9, F.col("count"))).alias("near")
-    )
-    return near.where((F.col("at") >= PILE) & (F.col("at") >= PILE_SHARE * F.col("near"))).select("dataset_id", "measure", "most")
+    stacked = found.select("dataset_id", F.expr(f"stack({len(MEASURES)}, {', '.join(f'{chr(39)}{m}{chr(39)}, {m}' for m in MEASURES)}) as (measure, size)"))
+    sizes = stacked.groupBy("dataset_id", "measure", "size").agg(F.count(F.lit(1)).alias("n"))
+    scaled = (100 * F.when(F.col("size") <= 100, F.col("size")).otherwise(100 + F.log(F.col("size") / 100) * (NEAR / math.log(1 + NEAR / 100)))).cast("long")
+    of = Window.partitionBy("dataset_id", "measure")
+    at = F.lit(0)
+    slack = F.lit(0)
+    for m, below in MEASURES.items():
+        at = F.when(F.col("measure") == m, F.sum("n").over(of.orderBy("size").rangeBetween(-below, 0))).otherwise(at)
+        slack = F.when(F.col("measure") == m, below).otherwise(slack)
+    sizes = sizes.withColumns({"scaled": scaled, "slack": slack})
+    sizes = sizes.withColumns({"at": at, "near": F.sum("n").over(of.orderBy("scaled").rangeBetween(-100 * NEAR, 100 * NEAR))})
+    limits = sizes.where((F.col("at") >= PILE) & (F.col("at") >= PILE_SHARE * F.col("near")))
+    return limits.select("dataset_id", "measure", F.explode(F.sequence(F.col("size") - F.col("slack"), F.col("size"))).alias("size")).distinct()
 
 
 def _at_limit(limits: DataFrame, found: DataFrame) -> DataFrame:
-    wide = limits.groupBy("dataset_id").agg(*[F.max(F.when(F.col("measure") == m, F.col("most"))).alias(f"most_{m}") for m in ("n_chars", "n_bytes", "n_words")])
-    joined = found.join(wide, "dataset_id", "left")
+    """`found` with at_limit; the limits of a source, a few, come as one row of lists."""
+    wide = limits.groupBy("dataset_id").agg(*[F.collect_set(F.when(F.col("measure") == m, F.col("size"))).alias(f"at_{m}") for m in MEASURES])
     hit: Column = F.lit(False)
-    for m, slack in (("n_chars", 0), ("n_bytes", 3), ("n_words", 0)):
-        hit = hit | F.coalesce(F.col(m) >= F.col(f"most_{m}") - slack, F.lit(False))
-    return joined.withColumn("at_limit", hit).drop("most_n_chars", "most_n_bytes", "most_n_words")
+    for m in MEASURES:
+        hit = hit | F.coalesce(F.array_contains(f"at_{m}", F.col(m)), F.lit(False))
+    return found.join(wide, "dataset_id", "left").withColumn("at_limit", hit).drop(*[f"at_{m}" for m in MEASURES])
+
+
+def against(texts: DataFrame) -> DataFrame:
+    """(sample_id, dataset_id, line): how each (sample_id, dataset_id, text, own) stands to the sample's own line: none, same, short (a proper prefix) or other."""
+
+    def relation(text: str, own: str | None) -> str:
+        if own is None or own.isspace() or not own:
+            return "none"
+        said, full = reduced(text.rstrip(BROKEN)), reduced(own)
+        return "same" if said == full else "short" if full.startswith(said) else "other"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(relation, batch.column(2).to_pylist(), batch.column(3).to_pylist()), pa.string())], ["sample_id", "dataset_id", "line"])
+
+    return texts.select("sample_id", "dataset_id", "text", "own").mapInArrow(run, "sample_id string, dataset_id string, line string")
 
 
 def truncated(asr: DataFrame, lines: DataFrame) -> DataFrame:
-    """(sample_id, dataset_id, at_limit, line, unknown_prefix, never_end, looped, open_end, suspect, cut) of each recognised text.
+    """(sample_id, dataset_id, at_limit, unknown_prefix, never_end, open_end, suspect, line, cut) of each recognised text.
 
     asr: (sample_id, status, dataset_id, text); lines: (sample_id, text).  Rows delivered
-    twice count once.
+    twice count once; line is null where the text isn't suspect.
     """
-    ok = asr.where("status = 'ok'").where(F.col("text").rlike(r"(?U)\S")).select("sample_id", "dataset_id", "text").distinct()
-    own = lines.select("sample_id", F.col("text").alias("line")).groupBy("sample_id").agg(F.max("line").alias("line"))
-    found = features(ok.join(own, "sample_id", "left"))
-    found = _at_limit(field_limits(found), found)
-    short = F.col("line") == "short"
-    # three dots are speech that trails off unless a limit or the line shows that more was said
-    open_end = (~F.col("closed")) | F.col("broken") | (F.col("dots") & (F.col("at_limit") | short))
-    last = found.where(open_end).select("last_word").distinct()
-    known = vocabulary(ok, "text")
-    nodes = known.where(F.length("word") > 1).select(F.explode(F.expr("transform(sequence(1, length(word) - 1), n -> substring(word, 1, n))")).alias("last_word")).join(last, "last_word", "left_semi").distinct().withColumn("prefix", F.lit(True))
-    words_seen = known.withColumnRenamed("word", "last_word").join(last, "last_word", "left_semi")
-    stats = last.join(nodes, "last_word", "left").join(words_seen, "last_word", "left").select(
-        "last_word",
-        (F.coalesce("prefix", F.lit(False)) & F.col("goes_on").isNull()).alias("unknown_prefix"),
-        (F.coalesce((F.col("goes_on") >= SEEN_OFTEN) & (F.col("ends") * SELDOM <= F.col("goes_on")), F.lit(False))).alias("never_end"),
+    ok = asr.where("status = 'ok'").where(filled(F.col("text"))).select("sample_id", "dataset_id", "text").distinct()
+    texts = materialised(ok, "recognised")
+    found = materialised(features(texts), "endings")
+    found = _at_limit(field_limits(found), found).withColumn("no", F.monotonically_increasing_id())
+    found = materialised(found.withColumn("open_end", ~F.col("closed") | F.col("broken") | (F.col("dots") & F.col("at_limit"))), "ends")
+
+    asked = found.where("open_end").select("no", F.explode(F.array_distinct(F.array("last_key", "pair_key"))).alias("key"))
+    nodes = trie(vocabulary(texts)).join(asked.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.max(F.col("goes_on").isNull()).alias("prefix"), F.sum("goes_on").alias("goes_on"), F.sum("ends").alias("ends"))
+    unknown = F.col("prefix") & F.col("goes_on").isNull()
+    never = F.coalesce((F.col("goes_on") >= SEEN_OFTEN) & (F.col("ends") * SELDOM <= F.col("goes_on")), F.lit(False))
+    told = nodes.select("key", unknown.alias("unknown_prefix"), never.alias("never_end")).where("unknown_prefix or never_end").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    told = asked.withColumn("salt", (F.col("no") % SALTS).cast("int")).join(told, ["key", "salt"]).groupBy("no").agg(F.max("unknown_prefix").alias("unknown_prefix"), F.max("never_end").alias("never_end"))
+
+    judged = found.join(told, "no", "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("unknown_prefix", "never_end")})
+    evidence = F.col("at_limit") | F.col("broken") | F.col("comma") | F.col("unknown_prefix") | F.col("never_end")
+    judged = materialised(judged.withColumn("suspect", F.col("open_end") & evidence).select("no", "sample_id", "dataset_id", "n_chars", "at_limit", "unknown_prefix", "never_end", "open_end", "suspect"), "judged")
+
+    doubted = judged.where("suspect").select("sample_id", "dataset_id").distinct()
+    own = lines.join(doubted.select("sample_id"), "sample_id", "left_semi").groupBy("sample_id").agg(F.max("text").alias("own"))
+    checked = against(texts.join(doubted, ["sample_id", "dataset_id"], "left_semi").join(own, "sample_id", "left"))
+    checked = checked.groupBy("sample_id", "dataset_id").agg(F.max_by("line", F.col("line") != "same").alias("line"))
+    return judged.join(checked, ["sample_id", "dataset_id"], "left").select(
+        "sample_id", "dataset_id", "at_limit", "unknown_prefix", "never_end", "open_end", "suspect", F.when(F.col("suspect"), F.col("line")).alias("line"), (F.col("suspect") & F.coalesce(F.col("line") != "same", F.lit(True))).alias("cut")
     )
-    judged = found.join(stats, "last_word", "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("unknown_prefix", "never_end")})
-    evidence = F.col("at_limit") | F.col("broken") | (~F.col("looped") & (F.col("unknown_prefix") | F.col("never_end")))
-    cut = open_end & (short | (F.col("line").isin("none", "other") & evidence))
-    return judged.select("sample_id", "dataset_id", "at_limit", "line", "unknown_prefix", "never_end", "looped", open_end.alias("open_end"), (open_end & evidence).alias("suspect"), cut.alias("cut"))
 
 
 def truncation_rates(judged: DataFrame) -> DataFrame:

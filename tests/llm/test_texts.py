@@ -41,6 +41,42 @@ def test_labels_and_mixed_texts(spark, tables):
     assert languages.identify(df.limit(0), "sample_id", "text", "language", *tables).collect() == []
 
 
+@pytest.mark.parametrize("times", [1, 2, 6])
+def test_mixed_lines_without_marks_of_any_length(tables, times):
+    """A change inside a sentence depends on what it saves, not on how long the sentence is."""
+    samples, _ = tables
+    known = languages.Identifier(languages.bounded(samples, ["language", "text"], 1000))
+    mixed = " ".join([SAMPLES["en"][0]] * times + [SAMPLES["de"][0]] * times)
+    assert [r[0] for r in known.runs([mixed])[0]] == ["en", "de"]
+    assert [r[0] for r in known.runs([" ".join(SAMPLES["en"] * times)])[0]] == ["en"]
+
+
+def test_stretches_that_save_most():
+    rng = np.random.default_rng(5)
+    table, sizes = rng.normal(5, 2, (40, 3)).astype(np.float32), np.array([1, 7, 30, 2, 60])
+    window, starts = rng.integers(0, 40, sizes.sum()), np.cumsum(sizes) - sizes
+    best = np.add.reduceat(table[window], starts).argmin(1)
+    got = languages.Identifier._gain_inside(table, window, starts, sizes, best)
+    for k, (a, n) in enumerate(zip(starts, sizes)):
+        rows = table[window[a : a + n]].astype(float)
+        want = max(max(0, (rows[i:j, best[k]] - rows[i:j, l]).sum()) for l in range(3) for i in range(n) for j in range(i + 1, n + 1))
+        assert abs(got[k] - want) < 1e-3
+
+
+def test_loops_and_long_runs(spark, tables):
+    import time
+
+    assert languages.without_loops("ab ab ab cd  cd x") == "ab cd  cd x" and languages.without_loops("hahahahaha no") == "haha no"
+    for text in ("\u6751\u306e\u4eba" * 40_000, "a" * 100_000, "x " * 50_000):
+        began = time.perf_counter()
+        languages.without_loops(text)
+        assert time.perf_counter() - began < 1
+    many = spark.range(6).selectExpr("'x' as alias", "'en' as language")
+    assert len(languages.bounded(many, ["alias", "language"], 6)) == 6
+    with pytest.raises(ValueError):
+        languages.bounded(many, ["alias", "language"], 5)
+
+
 def test_code_lengths_are_exact():
     """Costs looked up by window equal a walk through the context tree."""
     import math
@@ -113,7 +149,7 @@ def test_divergence(spark, tables):
 
 def test_truncation(spark):
     full = "they opened the heavy door behind the mill and repaired the radio near the pond"
-    corpus = [(f"c{k}", "ok", "src", f"Before noon {full}. The old radio was repaired near the pond.") for k in range(15)]
+    corpus = [(f"c{k}", "ok", "src", f"Before noon {full}{' again' * (k // 5)}. The old radio was repaired near the pond.") for k in range(15)]
     data = corpus + [
         ("cut", "ok", "src", "Before noon they opened the heavy door beh"), ("bare", "ok", "src", f"Before noon {full}"), ("trail", "ok", "src", "Before noon they opened the heavy…"), ("noline", "ok", "src", "before noon they opened the heavy door behind the m"),
         ("failed", "failed", "src", None), ("null", "ok", "src", None), ("blank", "ok", "src", " "), ("broken", "ok", "src", "Before noon they opened the hea�"), ("cut", "ok", "src", "Before noon they opened the heavy door beh"), ("comma", "ok", "src", "Before noon they opened the heavy door,"),
@@ -128,21 +164,57 @@ def test_truncation(spark):
     assert truncation.truncated(asr.limit(0), base).collect() == []
 
 
-def test_truncation_by_the_method_alone(spark):
+def test_the_method_decides_and_the_line_only_confirms(spark):
     full = "they opened the heavy door behind the mill and repaired the radio near the pond"
-    data = [(f"c{k}", "ok", "src", f"Before noon {full}.") for k in range(5)] + [("cut", "ok", "src", "Before noon they opened the heavy door beh"), ("comma", "ok", "src", "Before noon they opened the heavy door,"), ("same", "ok", "src", "Then they opened the"), ("alone", "ok", "src", "Then they opened the hea")]
+    data = [(f"c{k}", "ok", "src", f"Before noon {full}.") for k in range(5)] + [("cut", "ok", "src", "Before noon they opened the heavy door beh"), ("word", "ok", "src", "Before noon they opened"), ("same", "ok", "src", "Then they opened the hea"), ("alone", "ok", "src", "Then they opened the hea")]
+    asr = spark.createDataFrame(data, "sample_id string, status string, dataset_id string, text string")
+    lines = spark.createDataFrame([("cut", f"Before noon {full}."), ("word", f"Before noon {full}."), ("same", "Then they opened the hea")], "sample_id string, text string")
+    got = {r.sample_id: (r.line, r.suspect, r.cut) for r in truncation.truncated(asr, lines).collect() if not r.sample_id.startswith("c") or r.sample_id == "cut"}
+    assert got == {"cut": ("short", True, True), "word": (None, False, False), "same": ("same", True, False), "alone": ("none", True, True)}
+
+
+def test_a_word_is_unknown_after_the_word_before_it(spark):
+    data = [("a", "ok", "s", "They sat by the frozen pond. The p was silent. They sold the pond and the pan.")] * 2 + [("b", "ok", "s", "They walked to the frozen p"), ("c", "ok", "s", "They sold the p")]
     asr = spark.createDataFrame(data, "sample_id string, status string, dataset_id string, text string")
-    lines = spark.createDataFrame([("cut", f"Before noon {full}."), ("comma", f"Before noon {full}."), ("same", "Then they opened the")], "sample_id string, text string")
-    got = {r.sample_id: (r.line, r.suspect, r.cut) for r in truncation.truncated(asr, lines).collect() if not r.sample_id.startswith("c") or r.sample_id in ("cut", "comma")}
-    assert got == {"cut": ("short", True, True), "comma": ("short", False, True), "same": ("same", True, False), "alone": ("none", True, True)}
+    got = {r.sample_id: r.unknown_prefix for r in truncation.truncated(asr, spark.createDataFrame([], "sample_id string, text string")).collect()}
+    assert got == {"a": False, "b": True, "c": False}
+
 
+def test_last_words_are_whole():
+    long = "wordstart" + "q" * 200
+    assert truncation.last_words(f"So they said {long}") == (("", long), ("said", long))
+    assert truncation.last_words("one") == (("", "one"), ("", "one")) and truncation.last_words("") == (("", ""), ("", "")) and truncation.last_words("村の人々は") == (("", "の人々は"), ("", "々は"))
+    assert truncation.closed("He said “so.”" + '"' * 100) and not truncation.closed("so" + '"' * 100) and not truncation.closed("")
 
-def test_a_short_text_is_open_whatever_its_dots(spark):
+
+def test_keys_of_prefixes_are_those_of_words():
+    rng = random.Random(3)
+    tokens = ["".join(rng.choice("abc\u4e00\U0001f600") for _ in range(rng.randint(0, 9))) for _ in range(200)]
+    befores = [rng.choice(["", "a", "ab"]) for _ in tokens]
+    keys = truncation.Keys(befores, tokens)
+    which = np.array([k for k, t in enumerate(tokens) for _ in t])
+    length = np.array([n for t in tokens for n in range(1, len(t) + 1)])
+    made = truncation.Keys([befores[k] for k in which], [tokens[k][:n] for k, n in zip(which, length)]).whole()
+    assert keys.of(which, length).tolist() == made.tolist()
+    assert len({*keys.whole().tolist()}) == len({*zip(befores, tokens)})
+
+
+def test_field_limits_beside_longer_texts(spark):
     line = "the old radio was repaired near the pond by the people of the village"
     data = [(f"l{k}", "ok", "src", f"{k} {line}"[:40] + "...") for k in range(6)] + [("longer", "ok", "src", f"{line} {line}.")] + [("trails", "ok", "src", f"{line}..."), ("nothing", "ok", "src", "the old radio was...")]
-    lines = [(d[0], f"{d[0][1:]} {line}.") for d in data if d[0].startswith("l") and d[0] != "longer"] + [("trails", f"{line}...")]
-    judged = truncation.truncated(spark.createDataFrame(data, "sample_id string, status string, dataset_id string, text string"), spark.createDataFrame(lines, "sample_id string, text string"))
-    assert {r.sample_id for r in judged.where("cut").collect()} == {f"l{k}" for k in range(6)}  # one longer text hides their limit
+    judged = truncation.truncated(spark.createDataFrame(data, "sample_id string, status string, dataset_id string, text string"), spark.createDataFrame([("trails", f"{line}...")], "sample_id string, text string"))
+    assert {r.sample_id for r in judged.where("cut").collect()} == {f"l{k}" for k in range(6)}
+
+
+def test_long_words_take_linear_time(spark):
+    import time
+
+    word, began = "ab" * 50_000, time.perf_counter()
+    truncation.count_words([word + " x"])
+    keys = truncation.Keys([""], [word])
+    keys.of(np.zeros(len(word) - 1, np.int64), np.arange(1, len(word)))
+    truncation.last_words(word)
+    assert time.perf_counter() - began < 1
 
 
 def test_stated_splits(spark):

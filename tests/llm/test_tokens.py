@@ -88,6 +88,14 @@ def test_best_fit_keeps_copies_apart():
     assert len(set(strict)) == 5 and len(set(tokens.pack_group([(10, -1, 0)] * 5, 100))) == 1
 
 
+@pytest.mark.parametrize("n", [10, 61, 101, 1000])
+def test_all_equally_tight_containers_are_judged(n):
+    """An item joins the one container that its source isn't in, however many are as tight."""
+    items = [(60, k, 0) for k in range(n - 1)] + [(60, n, 1)] + [(30, 2 * n, 0)]
+    at = tokens.pack_group(items, 100)
+    assert len(set(at[:n])) == n and at[n] == at[n - 1]
+
+
 def test_pack(spark):
     rng = random.Random(6)
     data = [(k, " ".join(rng.choice(["word", "other", "thing"]) for _ in range(rng.randint(1, 400))), rng.choice("ab"), "n") for k in range(300)]
@@ -129,7 +137,7 @@ def test_pieces_cover_the_text(limit, overlap):
     texts += ["".join(rng.choice(["a", " ", "\n", ". ", "中", "。", "word", "\n\n", "é", "'s", ","]) for _ in range(2500)) for _ in range(10)]
     for text in texts:
         (starts, sizes), = e.word_counts([text])
-        found = splitting._Text(text, starts, sizes, e).pieces(limit, overlap)
+        found = splitting._Text(text, starts, sizes, e, overlap).pieces(limit, overlap)
         check_pieces(text, found, limit, overlap)
 
 
@@ -151,3 +159,26 @@ def test_split_oversized(spark):
         assert [r.piece_no for r in mine] == list(range(1, len(mine) + 1)) and all(r.n_tokens <= 1024 for r in mine) and mine[-1].ends_at == "end"
         assert "".join(r.text[r.overlap_chars :] for r in mine) == {4: long, 5: "中" * 2000, 6: "a " * 1025}[k]
     assert splitting.split_oversized(df.limit(0), "doc_id", "text").collect() == []
+
+
+def test_pieces_of_a_run_without_boundaries_overlap():
+    e = encoder()
+    for text in ("中文字" * 500, "x" * 4000, "Start of it. " + "漢" * 900 + " and an end."):
+        (starts, sizes), = e.word_counts([text])
+        found = splitting._Text(text, starts, sizes, e, 16).pieces(100, 16)
+        check_pieces(text, found, 100, 16)
+        assert sum(a < new for a, _, _, new in found[1:]) >= len(found) - 2
+
+
+def test_borders_take_linear_time():
+    import time
+
+    e = encoder()
+    for text in ("\n" * 100_000 + "x", "." * 100_000 + "x", "\r\n \t" * 30_000, "!" * 50_000 + '"' * 50_000):
+        began = time.perf_counter()
+        splitting.sections(text)
+        for pattern in splitting.BORDERS[1:]:
+            for _ in pattern.finditer(text):
+                pass
+        assert time.perf_counter() - began < 1
+    assert splitting.sections("a\n\n# One\n\n 2. Two\n# no\n\nthree") == [3, 10]
