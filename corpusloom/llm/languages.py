@@ -165,6 +165,33 @@ def best_path(costs: np.ndarray, change: np.ndarray) -> list[int]:
     return path[::-1]
 
 
+def _block_starts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where sentences and parts between blanks begin, and in other writing than ASCII every character: all places where a word may begin are among them."""
+    before, here = raw[:-1], raw[1:]
+    cut = np.zeros(len(raw), bool)
+    cut[1:] = (before <= 32) | (here >= 0xC0) | (before >= 0x80) & (here < 0x80)
+    cut[starts] = True
+    return np.flatnonzero(cut)
+
+
+def _gain_inside(bits: np.ndarray, opens: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """The most bits that another language saves on a stretch of each sentence, against the sentence's best language.
+
+    bits: of each block for each language; opens: each sentence's first block.
+    """
+    sizes = np.diff(np.append(opens, len(bits)))
+    own = bits[np.arange(len(bits)), np.repeat(best, sizes)]
+    most = np.zeros(len(sizes))
+    for k in range(bits.shape[1]):
+        gain = own - bits[:, k]
+        before = np.cumsum(gain) - gain
+        before -= np.repeat(before[opens], sizes)
+        step = np.repeat(np.arange(len(sizes)) * (np.ptp(before) + 1), sizes)  # lowers each sentence below the last, so the running least begins anew
+        up = before + gain - (np.minimum.accumulate(before - step) + step)
+        most = np.maximum(most, np.maximum.reduceat(up, opens))
+    return most
+
+
 class Identifier:
     def __init__(self, samples: list[tuple[str, str]]):
         self.ppm = Ppm(samples)
@@ -179,12 +206,15 @@ class Identifier:
         wholes = [b"".join(raws[a : a + n]) for a, n in zip(first.tolist(), per_text.tolist())]
         table, window, _ = self.ppm.bits(wholes)
         starts = np.cumsum(sizes) - sizes
-        cost = np.empty((len(raws), len(self.ppm.names)), np.float64)
-        for k in range(cost.shape[1]):
-            cost[:, k] = np.add.reduceat(table[:, k][window], starts)
+        blocks = _block_starts(np.frombuffer(b"".join(raws), np.uint8), starts)
+        bits = np.empty((len(blocks), len(self.ppm.names)))
+        for k, column in enumerate(np.ascontiguousarray(table.T)):
+            bits[:, k] = np.add.reduceat(column[window], blocks)
+        opens = np.searchsorted(blocks, starts)
+        cost = np.add.reduceat(bits, opens)
         total = np.add.reduceat(cost, first)
         best = cost.argmin(1)
-        divided = self._gain_inside(table, window, starts, sizes, best) > CHANGE_INSIDE / 2
+        divided = _gain_inside(bits, opens, best) > CHANGE_INSIDE / 2
         settled = np.logical_and.reduceat((best == np.repeat(total.argmin(1), per_text)) & ~divided, first)
         out: list[list[tuple[str, float]]] = []
         for k, done in enumerate(settled.tolist()):
@@ -195,20 +225,6 @@ class Identifier:
             out.append([self._run(total[k])] if done else self._search(parts[k], cost[a : a + n], divided[a : a + n], table, window, starts[a : a + n]))
         return out
 
-    @staticmethod
-    def _gain_inside(table: np.ndarray, window: np.ndarray, starts: np.ndarray, sizes: np.ndarray, best: np.ndarray) -> np.ndarray:
-        """The most bits that another language saves on a stretch of each sentence, against the sentence's best language."""
-        own = table[window, np.repeat(best, sizes)].astype(np.float64)
-        most = np.zeros(len(sizes))
-        for k in range(table.shape[1]):
-            gain = own - table[:, k][window]
-            before = np.cumsum(gain) - gain
-            before -= np.repeat(before[starts], sizes)
-            step = np.repeat(np.arange(len(sizes)) * (np.ptp(before) + 1), sizes)  # lowers each sentence below the last, so the running least begins anew
-            up = before + gain - (np.minimum.accumulate(before - step) + step)
-            most = np.maximum(most, np.maximum.reduceat(up, starts))
-        return most
-
     def _run(self, bits: np.ndarray) -> tuple[str, float]:
         gap = np.minimum(bits - bits.min(), 60)
         return self.ppm.names[int(bits.argmin())], float(1 / np.exp2(-gap).sum())

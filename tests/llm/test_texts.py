@@ -53,14 +53,16 @@ def test_mixed_lines_without_marks_of_any_length(tables, times):
 
 def test_stretches_that_save_most():
     rng = np.random.default_rng(5)
-    table, sizes = rng.normal(5, 2, (40, 3)).astype(np.float32), np.array([1, 7, 30, 2, 60])
-    window, starts = rng.integers(0, 40, sizes.sum()), np.cumsum(sizes) - sizes
-    best = np.add.reduceat(table[window], starts).argmin(1)
-    got = languages.Identifier._gain_inside(table, window, starts, sizes, best)
-    for k, (a, n) in enumerate(zip(starts, sizes)):
-        rows = table[window[a : a + n]].astype(float)
+    sizes = np.array([1, 7, 30, 2, 60])
+    bits, opens = rng.normal(5, 2, (sizes.sum(), 3)), np.cumsum(sizes) - sizes
+    best = np.add.reduceat(bits, opens).argmin(1)
+    got = languages._gain_inside(bits, opens, best)
+    for k, (a, n) in enumerate(zip(opens, sizes)):
+        rows = bits[a : a + n]
         want = max(max(0, (rows[i:j, best[k]] - rows[i:j, l]).sum()) for l in range(3) for i in range(n) for j in range(i + 1, n + 1))
-        assert abs(got[k] - want) < 1e-3
+        assert abs(got[k] - want) < 1e-6
+    raw = "ab cd、ef 中文".encode()
+    assert languages._block_starts(np.frombuffer(raw, np.uint8), np.array([0])).tolist() == [0, 3, 5, 8, 11, 14]
 
 
 def test_loops_and_long_runs(spark, tables):
