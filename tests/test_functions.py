@@ -98,6 +98,39 @@ def test_labels_and_replies(spark):
     assert one(spark, ["Hi [Laughter] There!", None], "t string", tx.utterance_key(F.col("t"))) == ["hithere", None]
 
 
+# Published examples of each dialect's markup and its conversion.
+GOLDEN_TAGS = [
+    ("angled", "孤单<crying>。", "孤单[Crying]。", ["Crying"], []), ("angled", "对象<<crying>。", "对象[Crying]。", ["Crying"], ["doubled_open_bracket"]), ("angled", "照片<laughter>>求", "照片[Laughter]求", ["Laughter"], ["doubled_close_bracket"]),
+    ("angled", "沉痛crying>仿佛", "沉痛[Crying]仿佛", ["Crying"], ["missing_open_bracket"]), ("angled", "目标儿<aughter>，", "目标儿[Laughter]，", ["Laughter"], ["misspelled_laughter"]), ("angled", "嗯<laughter><但只写了", "嗯[Laughter]但只写了", ["Laughter"], ["stray_open_bracket"]),
+    ("bracketed", "[throatclearing]<B>是</B>你", "[Throat-clearing]是你", ["Throat-clearing"], ["removed_region_markup"]), ("bracketed", "[sniff]母后", "[Sniff]母后", ["Sniff"], []),
+    ("emoji", "So, Mom, 🌬️ how 🐖 are 👃 you? \ufe0f", "So, Mom, [Breathing] how [Dissatisfaction-hnn] are [Sniff] you?", ["Breathing", "Dissatisfaction-hnn", "Sniff"], ["orphan_variation_selector"]),
+    ("dialogue", "{F Oh, } {D well, } [ They're, + {F uh, } they're ] fine <Lipsmack>. -", "Oh, well, They're, uh, they're fine [Mouth-noise].", ["Mouth-noise"], []), ("dialogue", "[ is it, + {A {F oh } goodness } it's, ] (( he )) <throat_clearing> -- ok", "is it, oh goodness it's, he [Throat-clearing] ok", ["Throat-clearing"], []),
+    ("dialogue", "{D you know, that's", "you know, that's", [], ["unbalanced_brace"]), ("canonical", "[Uhm]嗯。[Question-ei]", "[Uhm]嗯。[Question-ei]", ["Uhm", "Question-ei"], []),
+]
+
+
+@pytest.mark.parametrize("dialect,source,text,target,repairs", GOLDEN_TAGS)
+def test_tag_dialects(dialect, source, text, target, repairs):
+    got = tags.CONVERTERS[dialect](source)
+    assert (got[0], got[2], got[3]) == (text, target, repairs)
+
+
+@pytest.mark.parametrize("dialect,source", [("bracketed", "[hiccup]你好"), ("emoji", "Hi 🙂 there"), ("dialogue", "ok <hiccup>"), ("canonical", "[Sniff]嗯"), ("angled", "好<sneeze>的"), ("angled", "a</laughter>"), ("angled", "crying>>"), ("bracketed", "<B>a"), ("dialogue", "a[b")])
+def test_unknown_markup(dialect, source):
+    with pytest.raises(tags.UnknownMarkup):
+        tags.CONVERTERS[dialect](source)
+
+
+def test_spans_are_drawn_from_all_legal_ones():
+    """Every legal span, and no other, can come out."""
+    for rate, n in ((8000, 9000), (11027, 11200), (22050, 26460), (16000, 12800), (44100, 50000)):
+        least, most = max(-(-rate // 2), -(-n // 10)), n // 2
+        steps = n * 25 // (2 * rate)
+        legal = {(a, b) for a in range(steps) for b in range(a + 1, steps + 1) if least <= digests.grid_frame(b, rate) - digests.grid_frame(a, rate) <= most}
+        found = {s[:2] for k in range(600) if (s := digests.reference_span(n, rate, str(k), 1))}
+        assert found == legal
+
+
 def test_tags(spark):
     cases = [
         ("a [Laughter] b", "canonical", "a [Laughter] b", ["Laughter"], "keep", None), ("a <laughter>  b", "angled", "a [Laughter] b", ["Laughter"], "replace", None),
