@@ -50,4 +50,5 @@ def repaired(text: Column, repairs: dict[str, str]) -> Column:
 
 def mentions(text: Column, terms: list[str]) -> Column:
     """Whether a text names any of the terms as a word, in any case; false for null."""
-    return F.coalesce(text.rlike(r"(?i)\b(?:" + "|".join(terms) + r")\b"), F.lit(False))
+    literal = "|".join(r"\Q" + t.replace(r"\E", r"\E\\E\Q") + r"\E" for t in terms)
+    return F.coalesce(text.rlike(rf"(?iu)(?<![\w])(?:{literal})(?![\w])"), F.lit(False)) if terms else F.lit(False)

@@ -60,13 +60,21 @@ def resolve_duplicates(decided: DataFrame, priority: list[str], annotated: Colum
     return rows.withColumns({"flags": flags.bitwiseOR(F.when(member & (F.col("reason") == 0) & present(F.col("held")), BIT["held_out"]).otherwise(0)), "reason": reason}).drop("__hash", "eligible", "held")
 
 
-def reference_pool(resolved: DataFrame, speaker: str, utterance: str, seconds: str, least: float) -> DataFrame:
-    """Selected rows of a speaker without two different long utterances get 5002, the speaker as a whole."""
+def reference_pool(resolved: DataFrame, speaker: str, utterance: str, seconds: str, least: float, held_out: list[str] = (), salts: int = 16) -> DataFrame:
+    """Selected rows without a speaker get 5001, those of a speaker without two different long utterances 5002, the speaker as a whole; held-out speakers 7001.
+
+    Rows meet only the speakers that fail, and by speaker and salt, so that one with a large
+    share of the rows is spread over many tasks; rows without a speaker meet none.
+    """
+    known = present(F.trim(F.col(speaker)) != "")
     long = (F.col("reason") == 0) & (F.col(seconds) >= least)
-    pools = resolved.groupBy(F.col(speaker).alias("__speaker")).agg(F.min(F.when(long, F.col(utterance))).alias("__u0"), F.max(F.when(long, F.col(utterance))).alias("__u1"))
-    rows = resolved.join(pools, F.col(speaker).eqNullSafe(F.col("__speaker")), "left")
-    alone = (F.col("reason") == 0) & ~present(F.col("__u0") != F.col("__u1"))
-    return rows.withColumns({"flags": F.when(alone, F.col("flags").bitwiseOR(F.lit(BIT["reference_policy"]))).otherwise(F.col("flags")), "reason": F.when(alone, 5002).otherwise(F.col("reason"))}).drop("__speaker", "__u0", "__u1")
+    pools = resolved.where(known).groupBy(F.col(speaker).alias("__speaker")).agg(F.min(F.when(long, F.col(utterance))).alias("__u0"), F.max(F.when(long, F.col(utterance))).alias("__u1"))
+    failed = pools.where(~present(F.col("__u0") != F.col("__u1"))).select("__speaker", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__part"))
+    salt = F.when(known & (F.col("reason") == 0), F.pmod(F.xxhash64(*[c for c in ("sample_id", utterance) if c in resolved.columns]), F.lit(salts)).cast("int"))
+    rows = resolved.withColumn("__salt", salt).join(failed, (F.col(speaker) == F.col("__speaker")) & (F.col("__salt") == F.col("__part")), "left")
+    code = F.when(F.col("reason") != 0, None).when(~known, 5001).when(F.col(speaker).isin(list(held_out)), 7001).when(F.col("__speaker").isNotNull(), 5002)
+    flag = F.when(code == 7001, BIT["held_out"]).when(code.isNotNull(), BIT["reference_policy"]).otherwise(0)
+    return rows.withColumn("__code", code).withColumns({"flags": F.col("flags").bitwiseOR(flag), "reason": F.coalesce("__code", "reason")}).drop("__speaker", "__part", "__salt", "__code")
 
 
 def priority_candidates(candidates: DataFrame, key: str = "short_id") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.shared import materialised
+from corpusloom.shared import materialised, settings
 
 #: Width of a slice of an entity's timeline.  Slices are what a task handles at once, so
 #: an entity that holds a large share of all rows is spread over many tasks.
@@ -46,7 +46,9 @@ def periods(df: DataFrame, keys: list[str], start: str, end: str, slice_width: i
     local = rows.groupBy(*names, "__slice", session.alias("__w")).agg(F.count(F.lit(1)).alias("__n"))
     local = local.select(*names, "__slice", F.unix_micros(F.col("__w.start")).alias("__s"), F.unix_micros(F.col("__w.end")).alias("__e"))
 
-    local = materialised(local, "sessions")
+    # sessions of a partition are merged before they are shuffled, so copies and nested intervals don't cross it
+    with settings(df.sparkSession, spark__sql__sessionWindow__merge__sessions__in__local__partition="true"):
+        local = materialised(local, "sessions")
 
     in_slice = Window.partitionBy(*names, "__slice").orderBy("__s")
     across = Window.partitionBy(*names).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)

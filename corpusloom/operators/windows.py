@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.digests import rank_hash
+from corpusloom.shared import materialised
 
 
 def topk_by_hash(df: DataFrame, key: str, unique: str, k: int, seed: str) -> DataFrame:
@@ -34,10 +35,26 @@ def running_offsets(df: DataFrame, part: str) -> DataFrame:
     return sizes.withColumn("offset", F.coalesce(F.sum("n_rows").over(before), F.lit(0)))
 
 
+def placed(df: DataFrame, part: str, *order: str) -> DataFrame:
+    """`df` with place: each row's place within its part, from 0, in order of `order` (nulls first, null parts are one part).
+
+    Rows are range-partitioned and sorted once, so that a part with any share of them is
+    ranked by many tasks; counted are the rows of a part in each partition, and only those
+    counts are added up.
+    """
+    rows = df.repartitionByRange(part, *order).sortWithinPartitions(part, *order).withColumn("__id", F.monotonically_increasing_id())
+    rows = materialised(rows, "placed")
+    task = F.shiftright("__id", 33)
+    counts = rows.groupBy(F.col(part).alias("__part"), task.alias("__task")).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__part").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("__part", "__task", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"))
+    joined = rows.withColumn("__of", task).join(counts, F.col(part).eqNullSafe(F.col("__part")) & (F.col("__of") == F.col("__task")))
+    return joined.withColumn("place", F.col("__id") + F.col("__shift")).drop("__id", "__of", "__part", "__task", "__shift")
+
+
 def slices(df: DataFrame, part: str, position: str, size: int) -> DataFrame:
     """`df` with slice_no: consecutive rows of each part in slices of `size`."""
-    at = F.row_number().over(Window.partitionBy(part).orderBy(position)) - 1
-    return df.withColumn("slice_no", F.floor(at / size).cast("long"))
+    return placed(df, part, position).withColumn("slice_no", F.floor(F.col("place") / size).cast("long")).drop("place")
 
 
 def islands(df: DataFrame, part: str, start: str, end: str) -> DataFrame:
@@ -65,34 +82,20 @@ def length_batches(df: DataFrame, length: str, unique: str, padded: Column, size
     return rows.withColumn("batch_no", F.floor(at / F.col("batch_size")).cast("long"))
 
 
-def interleaved(df: DataFrame, source: str, order: str, slice_of: Column | None = None) -> DataFrame:
-    """`df` with turn: the row's place within its source, so that ordering by turn takes sources in rotation.
-
-    Rows are ranked within slices of a source and moved up by the rows of the slices before,
-    so that a source with a large share of the rows is ranked by many tasks.  slice_of: a
-    value that never falls as `order` rises; the first two characters of a string, else none.
-    Null sources are one source.
-    """
-    text = df.schema[order].dataType.simpleString() == "string"
-    rows = df.withColumn("__slice", slice_of if slice_of is not None else F.substring(order, 1, 2) if text else F.lit(0))
-    before = Window.partitionBy("__source").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(F.col(source).alias("__source"), F.col("__slice").alias("__of")).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = sizes.withColumnRenamed("__of", "__slice").withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).select("__source", F.col("__slice").alias("__of"), "__before")
-    ranked = rows.withColumn("__at", F.row_number().over(Window.partitionBy(source, "__slice").orderBy(order)))
-    joined = ranked.join(offsets, F.col(source).eqNullSafe(F.col("__source")) & F.col("__slice").eqNullSafe(F.col("__of")))
-    return joined.withColumn("turn", F.col("__at") + F.col("__before")).drop("__slice", "__at", "__source", "__of", "__before")
+def interleaved(df: DataFrame, source: str, order: str) -> DataFrame:
+    """`df` with turn: the row's place within its source, from 1, so that ordering by turn takes sources in rotation."""
+    return placed(df, source, order).withColumn("turn", F.col("place") + 1).drop("place")
 
 
 def spread_sample(df: DataFrame, part: str, order: str, n: int) -> DataFrame:
     """First, middle and last parts, and of each the n rows in its middle."""
     parts = df.groupBy(part).agg(F.count(F.lit(1)).alias("__rows"))
     w = Window.orderBy(part)
-    placed = parts.withColumns({"__at": F.row_number().over(w) - 1, "__all": F.count(F.lit(1)).over(Window.partitionBy())})
-    chosen = placed.where(F.col("__at").isin(0) | (F.col("__at") == F.floor(F.col("__all") / 2)) | (F.col("__at") == F.col("__all") - 1))
-    rows = df.join(chosen.select(F.col(part).alias("__part"), "__rows"), F.col(part) == F.col("__part"))
-    at = F.row_number().over(Window.partitionBy(part).orderBy(order)) - 1
+    ranked = parts.withColumns({"__at": F.row_number().over(w) - 1, "__all": F.count(F.lit(1)).over(Window.partitionBy())})
+    chosen = ranked.where(F.col("__at").isin(0) | (F.col("__at") == F.floor(F.col("__all") / 2)) | (F.col("__at") == F.col("__all") - 1))
+    rows = df.join(F.broadcast(chosen.select(F.col(part).alias("__part"), "__rows")), F.col(part) == F.col("__part"))  # three rows
     begin = F.floor(F.greatest(F.col("__rows") - n, F.lit(0)) / 2)
-    return rows.withColumn("__pos", at).where((F.col("__pos") >= begin) & (F.col("__pos") < begin + n)).drop("__part", "__rows", "__pos")
+    return placed(rows, part, order).where((F.col("place") >= begin) & (F.col("place") < begin + n)).drop("__part", "__rows", "place")
 
 
 def window_energy(df: DataFrame, key: str, position: str, value: str, width: int) -> DataFrame:
@@ -107,13 +110,16 @@ def loud_edges(df: DataFrame, key: str, position: str, value: str, relative: flo
     return rows.where(F.abs(value) > F.col("__peak") * relative).groupBy(key).agg(F.min(position).alias("first_loud"), F.max(position).alias("last_loud"))
 
 
-def budget_batches(df: DataFrame, length: str, unique: str, budget: int, groups: int = 16) -> DataFrame:
+def budget_batches(df: DataFrame, length: str, unique: str, budget: int, group_rows: int = 4096) -> DataFrame:
     """`df`'s (unique, length) with salt and batch_no: greedy batches in order of length whose padded total is within a budget.
 
-    A sequential fold, so it runs per salt of a few thousand rows in Arrow batches.
+    A sequential fold, so it runs per salt of about `group_rows` rows; there are as many
+    salts as the number of rows asks for.
     """
     import pandas as pd
 
+    groups = max(1, round(df.where(F.col(length).isNotNull()).count() / group_rows))
+
     kind = df.schema[unique].dataType.simpleString()
     rows = df.select(F.col(unique), F.col(length).cast("long").alias("length"), F.pmod(F.xxhash64(unique), F.lit(groups)).cast("int").alias("salt")).where("length is not null")
 

@@ -150,8 +150,9 @@ SELECT 'derived_view', count(*) FROM base WHERE parent_sample_id IS NOT NULL) WH
     "dup_members_with_winner": f"WITH {DECIDED}, {GROUPS} SELECT sample_id, audio_sha256, reason, flags, winner FROM resolved WHERE members IS NOT NULL",
     "held_out_propagation": f"WITH {DECIDED}, {GROUPS} SELECT dataset_id, count(*) AS n_rows FROM resolved WHERE members IS NOT NULL AND reason = 7001 GROUP BY dataset_id",
     "closed_reference_pool": rf"""WITH {DECIDED}, k AS (SELECT *, regexp_replace(lower(selected_text), '[^\p{{L}}\p{{N}}]', '', 'g') AS utterance FROM decided),
-pool AS (SELECT speaker_id AS s, count(DISTINCT utterance) FILTER (reason = 0 AND duration_seconds >= 3.0) AS n FROM k GROUP BY speaker_id)
-SELECT sample_id, CASE WHEN reason = 0 AND n < 2 THEN 5002 ELSE reason END AS reason, CASE WHEN reason = 0 AND n < 2 THEN flags | {BIT['reference_policy']} ELSE flags END AS flags FROM k JOIN pool ON k.speaker_id IS NOT DISTINCT FROM pool.s""",
+pool AS (SELECT speaker_id AS s, count(DISTINCT utterance) FILTER (reason = 0 AND duration_seconds >= 3.0) AS n FROM k GROUP BY speaker_id),
+c AS (SELECT *, CASE WHEN reason <> 0 THEN NULL WHEN coalesce(trim(speaker_id), '') = '' THEN 5001 WHEN n < 2 THEN 5002 END AS code FROM k LEFT JOIN pool ON k.speaker_id = pool.s)
+SELECT sample_id, coalesce(code, reason) AS reason, CASE WHEN code IS NOT NULL THEN flags | {BIT['reference_policy']} ELSE flags END AS flags FROM c""",
     "priority_upsert_dedup": """WITH o AS (SELECT short_id, archive, row_number, min(semantic_hash) AS h0, max(semantic_hash) AS h1, min(priority) AS priority, max(nullif(trim(error), '')) AS error FROM ids GROUP BY 1, 2, 3)
 SELECT short_id, count(*) AS candidates, count(*) FILTER (error IS NULL) AS valid, coalesce(min(h0) <> max(h1), false) AS conflict,
   first(archive ORDER BY error IS NOT NULL, priority NULLS LAST, archive, row_number) AS archive, first(row_number ORDER BY error IS NOT NULL, priority NULLS LAST, archive, row_number) AS row_number,

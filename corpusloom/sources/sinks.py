@@ -7,35 +7,29 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.aggregates import set_digest
+from corpusloom.shared import hadoop_path
 from corpusloom.sources.base import schema_digest
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_path(spark, path)
     return fs.exists(p)
 
 
 def write_json(spark: SparkSession, path: str, value: dict) -> None:
     """Written beside its place and renamed, so readers see the old or the new file, never a part."""
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_path(spark, path)
     aside = p.suffix(f".{uuid.uuid4().hex}")
     out = fs.create(aside, True)
     out.write(bytearray(json.dumps(value, sort_keys=True, ensure_ascii=False, indent=1).encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(aside, p):
-        raise OSError(f"{path} can't be replaced")
+    jvm = spark._jvm
+    overwrite = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(aside), fs.makeQualified(p), overwrite)
 
 
 def read_json(spark: SparkSession, path: str) -> dict:
@@ -63,34 +57,37 @@ def publish(df: DataFrame, root: str, name: str, key: str, sources: dict | None
     """Writes `df` as the next version of a table: stage, read back, compare, rename.
 
     The staged files are compared with the input by count and an order-free fingerprint of
-    key and content, both distributed.  Rows are sorted by key within files, so that row
-    group statistics prune lookups.
+    key and content, which is taken while the rows are written: the plan runs once, so it
+    need not be deterministic.  Rows are sorted by key within files, so that row group
+    statistics prune lookups.
     """
     spark = df.sparkSession
     stage, base = f"{root}/_stage/{uuid.uuid4().hex}", f"{root}/{name}"
-    made = df.sortWithinPartitions(key) if sort else df
+    seen = Observation()
+    made = (df.sortWithinPartitions(key) if sort else df).observe(seen, *_measures(df))
     made.write.option("maxRecordsPerFile", max_rows).option("parquet.bloom.filter.enabled#" + key, "true").parquet(f"{stage}/data")
     back = spark.read.parquet(f"{stage}/data")
-    prints = [_fingerprint(x) for x in (df, back)]
-    if prints[0] != prints[1]:
+    written, found = seen.get, back.agg(*_measures(back)).first().asDict()
+    if written != found:
         raise ValueError(f"{name}: what was read back differs from what was written")
     version = next_version(spark, base)
-    manifest = {"name": name, "version": version, "rows": prints[1][0], "fingerprint": prints[1][1], "schema_sha256": schema_digest(back.schema), "key": key, "sources": sources or {}, "finished_at": time.strftime("%Y-%m-%dT%H:%M:%S+00:00", time.gmtime())}
+    manifest = {"name": name, "version": version, "rows": found["n"], "fingerprint": f"{found['low'] or 0}:{found['high'] or 0}", "schema_sha256": schema_digest(back.schema), "key": key, "sources": sources or {}, "finished_at": time.strftime("%Y-%m-%dT%H:%M:%S+00:00", time.gmtime())}
     write_json(spark, f"{stage}/manifest.json", manifest)
-    fs, target = _fs(spark, f"{base}/v{version}")
+    fs, target = hadoop_path(spark, f"{base}/v{version}")
     fs.mkdirs(target.getParent())
-    if fs.exists(target) or not fs.rename(_fs(spark, stage)[1], target):
+    if fs.exists(target) or not fs.rename(hadoop_path(spark, stage)[1], target):
         raise OSError(f"{base}/v{version} was published meanwhile")
     return Snapshot(f"{base}/v{version}", manifest)
 
 
-def _fingerprint(df: DataFrame) -> tuple[int, str]:
-    one = set_digest(df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("v")), "v", 1).select("n", F.concat_ws(":", "low", "high")).first()
-    return (int(one[0]), one[1]) if one else (0, "")
+def _measures(df: DataFrame) -> list[Column]:
+    """Count and two sums of hashes of all columns: equal for equal bags of rows, in any order."""
+    content = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}) if df.columns else F.lit("")
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(content).cast("decimal(38,0)")).alias("low"), F.sum(F.xxhash64(F.lit("second"), content).cast("decimal(38,0)")).alias("high")]
 
 
 def next_version(spark: SparkSession, base: str) -> int:
-    fs, p = _fs(spark, base)
+    fs, p = hadoop_path(spark, base)
     if not fs.exists(p):
         return 1
     names = [s.getPath().getName() for s in fs.listStatus(p)]
@@ -128,7 +125,7 @@ def journal(df: DataFrame, path: str) -> DataFrame:
 
 def uncommitted(spark: SparkSession, root: str) -> list[str]:
     """Staged folders that no publication has finished; a driver-side listing."""
-    fs, p = _fs(spark, f"{root}/_stage")
+    fs, p = hadoop_path(spark, f"{root}/_stage")
     return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
