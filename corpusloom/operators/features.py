@@ -7,7 +7,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions import digests, frames
+from corpusloom.functions import digests
+from corpusloom.functions import text as tx, frames
 
 
 def violations(*checks: tuple[str, Column]) -> Column:
@@ -55,7 +56,7 @@ def selected_metadata(decisions: DataFrame, base: DataFrame, key: str = "sample_
     """(key, text, language, text_revision) of selected rows: overrides where there are any, else the base values."""
     own = base.select(F.col(key).alias("__key"), F.col("text").alias("__text"), F.col("language").alias("__language"))
     rows = decisions.where("selection_reason = 0").join(own, F.col(key) == F.col("__key"))
-    text = F.coalesce("selected_text", F.trim("__text"))
+    text = F.coalesce("selected_text", tx.strip(F.col("__text")))
     return rows.select(key, text.alias("text"), F.coalesce("selected_language", "__language").alias("language"), digests.text_revision(F.col("__text"), normalization).alias("text_revision"))
 
 

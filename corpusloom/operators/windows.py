@@ -93,9 +93,9 @@ def spread_sample(df: DataFrame, part: str, order: str, n: int) -> DataFrame:
     w = Window.orderBy(part)
     ranked = parts.withColumns({"__at": F.row_number().over(w) - 1, "__all": F.count(F.lit(1)).over(Window.partitionBy())})
     chosen = ranked.where(F.col("__at").isin(0) | (F.col("__at") == F.floor(F.col("__all") / 2)) | (F.col("__at") == F.col("__all") - 1))
-    rows = df.join(F.broadcast(chosen.select(F.col(part).alias("__part"), "__rows")), F.col(part) == F.col("__part"))  # three rows
+    rows = df.join(F.broadcast(chosen.select(F.col(part).alias("__chosen"), "__rows")), F.col(part) == F.col("__chosen"))  # three rows
     begin = F.floor(F.greatest(F.col("__rows") - n, F.lit(0)) / 2)
-    return placed(rows, part, order).where((F.col("place") >= begin) & (F.col("place") < begin + n)).drop("__part", "__rows", "place")
+    return placed(rows, part, order).where((F.col("place") >= begin) & (F.col("place") < begin + n)).drop("__chosen", "__rows", "place")
 
 
 def window_energy(df: DataFrame, key: str, position: str, value: str, width: int) -> DataFrame:

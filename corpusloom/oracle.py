@@ -183,8 +183,7 @@ SELECT source_config, count(*) AS n_rows, count(*) FILTER (fits) AS reusable FRO
     "adjacent_segments": f"""WITH {BASE}, s AS (SELECT DISTINCT parent_sample_id, segment_start_frame AS a, segment_end_frame AS b FROM base WHERE parent_sample_id IS NOT NULL AND segment_start_frame >= 0 AND segment_start_frame < segment_end_frame),
 f AS (SELECT *, CASE WHEN lag(b) OVER (PARTITION BY parent_sample_id ORDER BY a, b) = a THEN 0 ELSE 1 END AS fresh FROM s), g AS (SELECT *, sum(fresh) OVER (PARTITION BY parent_sample_id ORDER BY a, b ROWS UNBOUNDED PRECEDING)::BIGINT AS island FROM f)
 SELECT parent_sample_id, island, min(a) AS "first", max(b) AS "last", count(*) AS n FROM g GROUP BY 1, 2""",
-    "source_rotation": f"WITH {BASE}, r AS (SELECT dataset_id, sample_id, row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id)::INT AS turn FROM base) SELECT * FROM r WHERE turn <= 3",
-    "source_rotation_all": f"WITH {BASE} SELECT dataset_id, sample_id, row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id) AS turn FROM base",
+    "source_rotation": f"WITH {BASE} SELECT dataset_id, sample_id, row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id) AS turn FROM base",
     "spread_sample": f"""WITH {BASE}, p AS (SELECT dataset_id, count(*) AS c, row_number() OVER (ORDER BY dataset_id) - 1 AS place, count(*) OVER () AS parts FROM base GROUP BY dataset_id),
 r AS (SELECT b.dataset_id, b.sample_id, c, row_number() OVER (PARTITION BY b.dataset_id ORDER BY b.sample_id) - 1 AS pos FROM base b JOIN p USING (dataset_id) WHERE place IN (0, parts // 2, parts - 1))
 SELECT dataset_id, sample_id FROM r WHERE pos >= greatest(c - 4, 0) // 2 AND pos < greatest(c - 4, 0) // 2 + 4""",
@@ -240,3 +239,101 @@ SELECT carrier_type, priority, CASE WHEN carrier_error IS NOT NULL THEN NULL WHE
     "stream_once": "SELECT event_id, any_value(event_type) AS event_type FROM events GROUP BY event_id",
     "stream_tumbling": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }
+
+
+# --- texts ------------------------------------------------------------------------------
+
+_EVENT = r"\[[A-Za-z]+(-[A-Za-z]+)*\]"
+_ALNUM = r"'[^\p{L}\p{N}]', '', 'g'"
+
+
+def _wide(c: str) -> str:
+    """Composed text in lower case with plain digits for wide ones: NFKC, as far as the tables need it."""
+    return f"translate(lower(nfc_normalize({c})), '０１２３４５６７８９', '0123456789')"
+
+
+def _json(c: str) -> str:
+    return f"coalesce(to_json({c})::VARCHAR, 'null')"
+
+
+def _repetition(text: str, language: str, word_n: int, words: int, char_n: int, chars: int, least: int, source: str) -> str:
+    """CTEs ending in repeated(sample_id, path, coverage): the largest share of a text that one n-gram covers."""
+    folded = f"replace(lower(nfc_normalize({text})), 'ß', 'ss')"
+    return rf"""rf AS (SELECT sample_id, {language} AS lang, {folded} AS t FROM {source}),
+rw AS (SELECT sample_id, lang, list_filter(list_transform(regexp_split_to_array(t, '[\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}]+'), lambda x: regexp_replace(x, {_ALNUM})), lambda x: x <> '') AS w, regexp_replace(t, {_ALNUM}) AS c FROM rf),
+rp AS (SELECT *, CASE WHEN c IS NULL THEN NULL WHEN coalesce(lang NOT IN ('zh', 'ja', 'ko'), true) AND len(w) >= {words} THEN 'word' WHEN length(c) >= {chars} THEN 'char' END AS path FROM rw),
+ru AS (SELECT sample_id, path, CASE path WHEN 'word' THEN w WHEN 'char' THEN string_split(c, '') END AS u, CASE path WHEN 'word' THEN {word_n} ELSE {char_n} END AS n FROM rp),
+rg AS (SELECT sample_id, n, k, u[k:k + n - 1] AS gram FROM ru, unnest(range(1, len(u) - n + 2)) AS t(k) WHERE path IS NOT NULL),
+rl AS (SELECT *, least(n, coalesce(lead(k) OVER (PARTITION BY sample_id, gram ORDER BY k) - k, n)) AS own FROM rg),
+rc AS (SELECT sample_id, max(own) AS own FROM (SELECT sample_id, gram, sum(own) AS own FROM rl GROUP BY 1, 2 HAVING count(*) >= {least}) GROUP BY 1),
+repeated AS (SELECT ru.sample_id, path, CASE WHEN path IS NOT NULL THEN coalesce(own, 0)::DOUBLE / len(u) END AS coverage FROM ru LEFT JOIN rc USING (sample_id))"""
+
+
+_LETTER_UNITS = r"""regexp_extract_all(nfc_normalize({t}), '\p{{Han}}|[\p{{Hiragana}}\p{{Katakana}}ー]|\p{{Hangul}}|\p{{Latin}}+|\p{{Cyrillic}}+|\p{{Greek}}+')"""
+
+
+def _share(text: str, language: str) -> str:
+    """Share of a text's letter units in the scripts of its language."""
+    units = _LETTER_UNITS.format(t=text)
+    cases = " ".join(rf"WHEN '{k}' THEN len(list_filter({units}, lambda x: regexp_matches(x, '^{v}')))" for k, v in {"zh": r"\p{Han}", "ja": r"[\p{Han}\p{Hiragana}\p{Katakana}ー]", "ko": r"\p{Hangul}", "ru": r"\p{Cyrillic}"}.items())
+    return f"CASE WHEN len({units}) > 0 THEN (CASE {language} {cases} ELSE len(list_filter({units}, lambda x: regexp_matches(x, '^\\p{{Latin}}'))) END)::DOUBLE / len({units}) END"
+
+
+def _form(text: str) -> str:
+    plain = f"strip_accents(replace(replace(replace({_wide(text)}, 'ß', 'ss'), '’', ''''), '‘', ''''))"
+    return f"replace(array_to_string(list_transform(regexp_extract_all({plain}, '[a-z0-9'']+'), lambda x: CASE WHEN x = 'colour' THEN 'color' ELSE x END), ''), '''', '')"
+
+
+def _plain_form(text: str) -> str:
+    return _form(text).replace("CASE WHEN x = 'colour' THEN 'color' ELSE x END", "x")
+
+
+def _draw(k: int, n: str) -> str:
+    """The k-th hash of a row's key, as a number modulo n."""
+    h = f"sha256(unhex(key || '{k:016x}'))"
+    out = "0::HUGEINT"
+    for at in (1, 17, 33, 49):
+        out = f"(({out}) * 18446744073709551616 + ('0x' || substr({h}, {at}, 16))::UBIGINT::HUGEINT) % ({n})::HUGEINT"
+    return f"({out})::BIGINT"
+
+
+_SPANS = f"""sl AS (SELECT sample_id, num_frames AS n, sample_rate * 2 // 25 AS hop, greatest((sample_rate + 1) // 2, (num_frames + 9) // 10) AS lo, num_frames // 2 AS hi, num_frames * 25 // (2 * sample_rate) AS steps,
+  sha256('["codec-grid-reference-v1",7,"' || sample_id || '"]') AS key FROM base WHERE sample_rate > 0),
+sb AS (SELECT *, (lo + hop - 1) // hop AS a, hi // hop AS b FROM sl),
+sd AS (SELECT *, CASE WHEN lo <= hi AND a <= b AND n >= 1 THEN a + {_draw(0, 'greatest(b - a + 1, 1)')} END AS len FROM sb),
+spans AS (SELECT *, {_draw(1, 'greatest(steps - len + 1, 1)')} AS st0, CASE WHEN len IS NOT NULL THEN st0 END AS st FROM sd)"""
+_VARIANTS = r"coalesce(len(list_filter(text_variants, lambda v: NOT coalesce(regexp_matches(v.kind, '\S'), false) OR NOT coalesce(regexp_matches(v.text, '\S'), false))) > 0, false)"
+_BASE_CHECKS = {
+    **{f"blank_{c}": f"regexp_matches({c}, '^{_WS}*$')" for c in ("text", "text_kind", "language", "speaker_id", "speaker_scope")},
+    "text_without_kind": "(text IS NULL) <> (text_kind IS NULL)", "speaker_without_scope": "(speaker_id IS NULL) <> (speaker_scope IS NULL)", "incomplete_segment": "(segment_start_frame IS NULL) <> (segment_end_frame IS NULL)",
+    "bad_segment": "segment_start_frame < 0 OR segment_start_frame >= segment_end_frame OR (segment_start_frame IS NOT NULL AND parent_sample_id IS NULL)", "bad_split": "source_split IS DISTINCT FROM 'train'",
+    "bad_metadata": "NOT coalesce(CASE WHEN json_valid(metadata_json) THEN json_type(metadata_json) = 'OBJECT' END, false)", "bad_variant": _VARIANTS, "bad_timeline": "NOT coalesce(num_frames > 0 AND sample_rate > 0 AND abs(duration_seconds - num_frames / sample_rate) < 1e-9, false)",
+}
+_TASKS = "SELECT dataset_id, sample_id, dataset_id || ':' || ((row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id) - 1) // 250) AS task FROM base"
+
+ORACLE |= {
+    "comparable_text": f"WITH {BASE} SELECT sample_id, {_form('text')} AS form FROM base",
+    "verified_text": f"""WITH {WITH_ASR}, f AS (SELECT sample_id, text, {_plain_form('text')} AS a, coalesce({_plain_form('asr_text')}, '') AS b FROM both_texts)
+SELECT sample_id, CASE WHEN coalesce(length(a), 0) = 0 THEN 'no_reference' WHEN levenshtein(a, b) <= length(a) // 100 THEN 'agree' ELSE 'disagree' END AS verdict FROM f""",
+    "ngram_repetition": f"WITH {BASE}, {_repetition('text', 'language', 4, 20, 10, 30, 3, 'base')} SELECT sample_id, path, coverage FROM repeated",
+    "script_share": f"WITH {BASE} SELECT sample_id, {_share('text', 'language')} AS share FROM base",
+    "utterance_keys": rf"WITH {BASE} SELECT sample_id, regexp_replace({_wide("regexp_replace(text, '" + _EVENT + "', '', 'g')")}, {_ALNUM}) AS utterance FROM base",
+    "spoken_labels": rf"""WITH {BASE}, l AS (SELECT list_filter(regexp_split_to_array(lower(language), '[\s\p{{Z}}]+'), lambda x: x <> '') AS p FROM base)
+SELECT CASE WHEN len(list_filter(p, lambda x: starts_with(x, '<'))) > 0 THEN NULL WHEN p[1] = 'zh' AND list_contains(p, 'yue') THEN 'yue' ELSE CASE p[1] WHEN 'other' THEN 'und' WHEN 'iw' THEN 'he' WHEN 'jw' THEN 'jv' WHEN 'tl' THEN 'fil' ELSE p[1] END END AS spoken, count(*) AS n_rows FROM l GROUP BY 1""",
+    "transcript_replies": f"WITH {ASR} SELECT sample_id, CASE WHEN language IS NULL OR language = 'None' THEN '' ELSE language END AS language, coalesce(text, '') AS text, true AS valid FROM asr WHERE status = 'ok'",
+    "text_revisions": f"""WITH {BASE} SELECT sample_id, sha256('["selected-text-v1",' || {_json('text')} || ',"strip"]') AS revision FROM base""",
+    "record_revisions": f"""WITH {BASE} SELECT sample_id, sha256('{{"dataset_id":' || {_json('dataset_id')} || ',"language":' || {_json('language')} || ',"num_frames":' || {_json('num_frames')} || ',"source_key":' || {_json('source_key')} || ',"text":' || {_json('text')} || '}}') AS revision FROM base""",
+    "reference_spans": f"WITH {BASE}, {_SPANS} SELECT sample_id, st AS start_step, st + len AS end_step, st * hop AS start_frame, (st + len) * hop AS end_frame FROM spans",
+    "prefix_spans": f"WITH {BASE}, {_SPANS} SELECT sample_id, CASE WHEN len IS NOT NULL THEN 0::BIGINT END AS start_step, len AS end_step, CASE WHEN len IS NOT NULL THEN 0::BIGINT END AS start_frame, len * hop AS end_frame FROM spans",
+    "attached_references": f"""WITH {BASE}, {ASR}, {_SPANS}, p AS (SELECT a.sample_id, CASE WHEN b.sample_id IS NULL THEN 'missing' WHEN coalesce({_digest('a.audio_sha256')}, '') <> b.audio_sha256 THEN 'differs:audio_sha256' END AS problem
+  FROM asr a LEFT JOIN (SELECT * FROM base WHERE sample_rate > 0) b USING (sample_id) WHERE a.status = 'ok')
+SELECT p.sample_id, problem, CASE WHEN problem IS NULL THEN st END AS start_step, CASE WHEN problem IS NULL THEN st + len END AS end_step FROM p LEFT JOIN spans USING (sample_id)""",
+    "equivalent_vectors": """WITH m AS (SELECT embedding AS a, list_transform(embedding, lambda x: (x::DOUBLE * 1.0001)::FLOAT) AS b FROM embeddings), c AS (SELECT list_transform(range(1, len(a) + 1), lambda i: [abs(b[i] - a[i])::DOUBLE, abs(a[i])::DOUBLE]) AS d FROM m)
+SELECT len(list_filter(d, lambda x: NOT coalesce(x[1] <= 1e-3 * x[2], false))) = 0 AS "close", len(list_filter(d, lambda x: NOT coalesce(x[1] <= 1e-6 * x[2], false))) = 0 AS closer, count(*) AS n_rows FROM c GROUP BY 1, 2""",
+    "selected_metadata": f"""WITH {DECIDED}, {GROUPS} SELECT sample_id, selected_text AS text, selected_language AS language, sha256('["selected-text-v1",' || {_json('text')} || ',"strip"]') AS text_revision FROM resolved WHERE reason = 0""",
+    "base_record_violations": " UNION ALL ".join(f"SELECT * FROM (SELECT '{name}' AS item, count(*) AS n FROM selection WHERE {check}) WHERE n > 0" for name, check in _BASE_CHECKS.items()),
+    "task_chains": f"""WITH {BASE}, t AS ({_TASKS}) SELECT task, count(*) AS n_rows, sha256(string_agg('{{"sample_id":' || {_json('sample_id')} || ',"dataset_id":' || {_json('dataset_id')} || '}}', chr(10) ORDER BY sample_id)) AS sha256 FROM t GROUP BY task""",
+    "stream_sessions": """WITH f AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM f)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM g GROUP BY user_id, k""",
+}

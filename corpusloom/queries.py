@@ -340,12 +340,6 @@ def adjacent_segments(spark, folder):
 
 @query
 def source_rotation(spark, folder):
-    """The first three turns of `source_rotation_all`, as its SQL has them."""
-    return source_rotation_all(spark, folder).where("turn <= 3").withColumn("turn", F.col("turn").cast("int"))
-
-
-@query
-def source_rotation_all(spark, folder):
     return win.interleaved(_base(spark, folder).select("dataset_id", "sample_id"), "dataset_id", "sample_id")
 
 
