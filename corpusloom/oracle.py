@@ -337,3 +337,23 @@ SELECT len(list_filter(d, lambda x: NOT coalesce(x[1] <= 1e-3 * x[2], false))) =
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM f)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM g GROUP BY user_id, k""",
 }
+
+_EVIDENCE = [
+    ("audio_sha256 = ''", "101", "audio_issue"), ("heard AND NOT heard_ok", "1003", "missing_text"), ("short AND NOT (heard AND NOT heard_ok)", "1001", None), ("short", None, "missing_text"),
+    (f"NOT supported AND coalesce(sl, '') <> ''", "2002", "language_policy"), ("NOT supported AND coalesce(sl, '') = ''", "2001", "language_policy"),
+    ("heard_ok AND (coalesce(language_mismatch, false) OR candidate_text IS NOT NULL OR candidate_response IS NOT NULL OR heard_language IS DISTINCT FROM sl)", "2003", "language_policy language_evidence"),
+    ("supported AND share < 0.5", "2004", "language_policy language_evidence"), (r"translate(st, '<>{}[]^\', '') <> st", "1007", "text_policy"), ("heard AND contains(st, chr(10))", "1008", "text_policy"), ("length(ec) > 0 AND coverage >= 0.8", "1004", "text_policy"),
+    (f"length(ec) > 0 AND duration_seconds / nullif(length(ec), 0) < CASE WHEN {_DENSE} THEN 0.04 ELSE 0.015 END", "1005", "text_policy"), (f"length(ec) > 0 AND duration_seconds / nullif(length(ec), 0) > CASE WHEN {_DENSE} THEN 1.0 ELSE 0.75 END", "1006", "text_policy"),
+    ("NOT coalesce(diarised = 'ok' AND speaker_count = 1, false)", "6002", "speaker_policy"), ("duration_seconds < 1.0", "3001", "duration_policy"), ("duration_seconds > 30.0", "3002", "duration_policy"),
+]
+_PRIORITY = "[1003, 1001, 2001, 2002, 2003, 2004, 1009, 1007, 1008, 1004, 1005, 1006, 6002, 3001, 3002, 7001]"
+_FOUND = "list_filter([" + ", ".join(f"CASE WHEN coalesce({p}, false) THEN {c} END" for p, c, _ in _EVIDENCE if c) + "], lambda x: x IS NOT NULL)"
+_BITS = " | ".join(f"CASE WHEN coalesce({p}, false) THEN {sum(BIT[b] for b in bits.split())} ELSE 0 END" for p, _, bits in _EVIDENCE if bits)
+ORACLE["rule_engine_with_evidence"] = f"""WITH {BASE}, {ASR}, {TURNS}, shaped AS (SELECT *, {_ALIAS} AS sl FROM base),
+heard AS (SELECT sample_id, status AS asr_status, text AS asr_text, {_NAME} AS heard_language, language_mismatch, candidate_text, candidate_response FROM asr),
+joined AS (SELECT s.* EXCLUDE (repetition), h.* EXCLUDE (sample_id), d.status AS diarised, d.result.speaker_count AS speaker_count, CASE WHEN asr_status IS NULL THEN coalesce({_strip('s.text')}, '') WHEN asr_status = 'ok' THEN coalesce({_strip('asr_text')}, '') ELSE '' END AS st
+  FROM shaped s LEFT JOIN heard h USING (sample_id) LEFT JOIN diarised d USING (sample_id)),
+{_repetition('st', 'sl', 4, 20, 10, 30, 3, 'joined')},
+judged AS (SELECT j.*, {_letters('st')} AS ec, {_share('st', 'sl')} AS share, path, coverage, asr_status IS NOT NULL AS heard, coalesce(asr_status = 'ok', false) AS heard_ok, coalesce(sl IN ({_list(_RULES['supported_languages'])}), false) AS supported FROM joined j JOIN repeated USING (sample_id)),
+called AS (SELECT *, st = '' OR length(ec) < 3 AS short FROM judged)
+SELECT sample_id, coalesce(list_filter({_PRIORITY}, lambda p: list_contains({_FOUND}, p))[1], 0) AS reason, {_BITS} AS flags, path AS repetition_path FROM called"""
