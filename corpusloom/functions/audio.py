@@ -1,7 +1,8 @@
 """Encoded audio in columns: WAV reading, waveform statistics, bandwidth and container sniffing.
 
-Failure is a status row, never an exception, so one bad file doesn't stop a job.  Only PCM
-and float WAV are decoded; other containers give `unsupported_container`.
+Failure is a status row, never an exception, so one bad file doesn't stop a job.  Headers are
+read of WAV, FLAC, MP3 and OGG; only PCM and float WAV are decoded, other containers give
+`unsupported_container`.
 """
 
 from __future__ import annotations
@@ -43,6 +44,97 @@ def wav_chunks(raw: bytes) -> Iterator[tuple[bytes, int, int]]:
         at += 8 + size + size % 2
 
 
+def wav_header(raw: bytes) -> tuple[int, int, int]:
+    form = size = None
+    for name, at, n in wav_chunks(raw):
+        if name == b"fmt " and n >= 16:
+            form = struct.unpack_from("<HHIIHH", raw, at)
+        elif name == b"data":
+            size = n
+    if not form or size is None or not form[4]:
+        raise BadAudio("missing_chunk")
+    return form[2], form[1], size // form[4]
+
+
+def flac_header(raw: bytes) -> tuple[int, int, int]:
+    """From the stream information, which is always the first block; 0 frames stand for an unknown number."""
+    if raw[:4] != b"fLaC" or len(raw) < 26 or raw[4] & 127:
+        raise BadAudio("bad_header")
+    packed = int.from_bytes(raw[18:26])
+    if not packed & (1 << 36) - 1:
+        raise BadAudio("unknown_length")
+    return packed >> 44, (packed >> 41 & 7) + 1, packed & (1 << 36) - 1
+
+
+# Bit rates (kbit/s) by version and layer, and sample rates of version 1.
+MP3_BIT_RATES = {
+    (1, 1): [32, 64, 96, 128, 160, 192, 224, 256, 288, 320, 352, 384, 416, 448], (1, 2): [32, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320, 384], (1, 3): [32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320],
+    (2, 1): [32, 48, 56, 64, 80, 96, 112, 128, 144, 160, 176, 192, 224, 256], (2, 2): [8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160], (2, 3): [8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160],
+}
+MP3_RATES = [44100, 48000, 32000]
+
+
+def _mp3_frame(raw: bytes, at: int) -> tuple[int, int, int, int] | None:
+    """(rate, channels, samples, size in bytes) of the frame at a place, or None."""
+    if at + 4 > len(raw) or raw[at] != 0xFF or raw[at + 1] & 0xE0 != 0xE0:
+        return None
+    kind, layer, rate_no, bits_no = raw[at + 1] >> 3 & 3, 4 - (raw[at + 1] >> 1 & 3), raw[at + 2] >> 2 & 3, raw[at + 2] >> 4
+    if kind == 1 or layer == 4 or rate_no == 3 or bits_no in (0, 15):
+        return None
+    rate = MP3_RATES[rate_no] >> {3: 0, 2: 1, 0: 2}[kind]
+    bits = MP3_BIT_RATES[1 if kind == 3 else 2, layer][bits_no - 1] * 1000
+    samples = 384 if layer == 1 else 576 if layer == 3 and kind != 3 else 1152
+    padding = raw[at + 2] >> 1 & 1
+    size = (12 * bits // rate + padding) * 4 if layer == 1 else samples // 8 * bits // rate + padding
+    return rate, 1 if raw[at + 3] >> 6 == 3 else 2, samples, size
+
+
+def mp3_header(raw: bytes) -> tuple[int, int, int]:
+    """By walking the frames; an information frame is no audio, and the delay and padding that it names are left out."""
+    at = 10 + sum((raw[6 + k] & 127) << 7 * (3 - k) for k in range(4)) if raw[:3] == b"ID3" and len(raw) > 10 else 0
+    while at < len(raw) and not ((first := _mp3_frame(raw, at)) and (at + first[3] >= len(raw) or _mp3_frame(raw, at + first[3]))):
+        at += 1
+    if at >= len(raw):
+        raise BadAudio("bad_header")
+    rate, channels, samples, size = first
+    total = 0
+    mark = max(raw.find(b"Xing", at, at + min(size, 64)), raw.find(b"Info", at, at + min(size, 64)))
+    if mark >= 0:
+        tag = mark + 8 + sum(n for bit, n in enumerate((4, 4, 100, 4)) if raw[mark + 7] >> bit & 1)
+        if raw[tag : tag + 4] in (b"LAME", b"Lavf", b"Lavc") and tag + 24 <= len(raw):
+            total -= sum(divmod(int.from_bytes(raw[tag + 21 : tag + 24]), 1 << 12))
+        at += size
+    while (frame := _mp3_frame(raw, at)) and at + frame[3] <= len(raw):
+        total += frame[2]
+        at += frame[3]
+    return rate, channels, max(0, total)
+
+
+def ogg_header(raw: bytes) -> tuple[int, int, int]:
+    """Vorbis and Opus: the first packet names the format, the last page the number of samples."""
+    begin = 27 + raw[26] if len(raw) > 27 else 0
+    first, last = raw[begin : begin + 32], raw.rfind(b"OggS")
+    if not begin or last + 14 > len(raw):
+        raise BadAudio("bad_header")
+    frames = struct.unpack_from("<q", raw, last + 6)[0]
+    if first[:7] == b"\x01vorbis":
+        return struct.unpack_from("<I", first, 12)[0], first[11], frames
+    if first[:8] == b"OpusHead":
+        return 48000, first[9], frames - struct.unpack_from("<H", first, 10)[0]
+    raise BadAudio("unsupported_encoding")
+
+
+def header(raw: bytes) -> tuple[int, int, int]:
+    """(sample rate, channels, frames) of an encoded file, without decoding it."""
+    try:
+        read = wav_header if raw[:4] == b"RIFF" else flac_header if raw[:4] == b"fLaC" else ogg_header if raw[:4] == b"OggS" else mp3_header if raw[:3] == b"ID3" or _mp3_frame(raw, 0) else None
+        if read is None:
+            raise BadAudio("unsupported_container")
+        return read(raw)
+    except (struct.error, IndexError):
+        raise BadAudio("bad_header") from None
+
+
 def read_wav(raw: bytes) -> tuple[np.ndarray, int]:
     """(mono float wave, rate) of a WAV file; channels are averaged."""
     form = wave = None

@@ -135,7 +135,6 @@ FROM diarised d LEFT JOIN u USING (sample_id) LEFT JOIN over_len o USING (sample
     "alias_language": "SELECT a.language AS code, count(*) AS n_rows FROM selection s LEFT JOIN language_aliases a ON replace(lower(trim(s.language)), '-', '_') = replace(lower(trim(a.alias)), '-', '_') GROUP BY a.language",
     "density_bounds": f"WITH {BASE}, c AS (SELECT *, length({_letters('text')}) AS chars FROM base) SELECT sample_id, chars, CASE WHEN duration_seconds / chars < 0.015 THEN 1005 WHEN duration_seconds / chars > 0.75 THEN 1006 ELSE 0 END AS reason FROM c WHERE chars > 0",
     "markup_flag": r"SELECT dataset_id, count(*) FILTER (translate(text, '<>{}[]^\', '') <> text) AS marked, count(text) AS texts FROM selection GROUP BY dataset_id",
-    "known_exclusions": f"WITH {BASE} SELECT dataset_id, count(*) AS n_rows FROM base WHERE num_frames = 1 OR duration_seconds > 30 GROUP BY dataset_id",
     "reason_dictionary": "SELECT * FROM (VALUES " + ", ".join(f"({k}, '{v}')" for k, v in [*REASONS.items(), *((1 << k, n) for k, n in enumerate(FLAGS))]) + ") AS t(code, name)",
     "timeline_checks": f"""WITH {BASE} SELECT * FROM (
 SELECT 'bad_rate' AS item, count(*) AS n FROM base WHERE NOT coalesce(sample_rate > 0, false) UNION ALL
@@ -202,7 +201,6 @@ n AS (SELECT *, CASE WHEN lo <= hi THEN lo + (x % (hi - lo + 1)::UBIGINT)::BIGIN
 SELECT sample_id, st AS "start", st + len AS "end" FROM s""",
     "frame_arithmetic": f"WITH {BASE}, l AS (SELECT sample_id, {_CEIL24} AS r, floor(duration_seconds * 24000) AS d FROM base WHERE sample_rate > 0) SELECT sample_id, r AS resampled, (r + 1919) // 1920 AS codec_frames, abs(r - d) <= 480 AS agrees FROM l",
     "vector_finite_norm": "SELECT coalesce(len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS valid, count(*) AS n_rows FROM embeddings GROUP BY 1",
-    "nested_array_validate": f"WITH {TURNS} SELECT sample_id, len(list_filter(result.turns, lambda t: t.start_sample IS NULL OR t.end_sample IS NULL)) = 0 AS valid FROM diarised WHERE status = 'ok'",
     "lower_percentile": "SELECT vec_id, list_sort(embedding)[floor(0.9 * (len(embedding) - 1))::INT + 1] AS p90, list_sort(embedding)[floor(0.5 * (len(embedding) - 1))::INT + 1] AS p50 FROM embeddings",
     "run_stamps": "SELECT DISTINCT sample_id, strftime(finished_at + INTERVAL 8 HOUR, '%Y%m%dT%H%M%S') AS stamp FROM qwen_asr WHERE finished_at IS NOT NULL",
     "json_score_import": f"""WITH {BASE}, j AS (SELECT dataset_id, metadata_json AS m, CASE WHEN json_valid(metadata_json) THEN json_extract(metadata_json, '$.upstream.dnsmos') END AS v FROM base),
@@ -223,19 +221,13 @@ SELECT dataset_id, count(*) AS n_rows, count(v) AS known, min(v) AS least, max(v
     "ordered_digest": f"""WITH {BASE}, r AS (SELECT dataset_id || ':' || ((row_number() OVER (PARTITION BY dataset_id ORDER BY sample_id) - 1) // 250) AS task, sample_id FROM base) SELECT task, count(*) AS n_rows, sha256(string_agg(sample_id, chr(10) ORDER BY sample_id)) AS sha256 FROM r GROUP BY task""",
     "shard_gaps": "SELECT carrier_type, n::INT AS missing FROM (SELECT DISTINCT carrier_type FROM ids) CROSS JOIN range(64) t(n) WHERE (carrier_type, n) NOT IN (SELECT carrier_type, archive FROM ids WHERE archive IS NOT NULL)",
     "set_equality_both_ways": "SELECT problem, count(*) AS n_keys FROM (SELECT DISTINCT sample_id, 'missing' AS problem FROM selection WHERE sample_id NOT IN (SELECT sample_id FROM qwen_asr) UNION ALL SELECT DISTINCT sample_id, 'unexpected' FROM qwen_asr WHERE sample_id NOT IN (SELECT sample_id FROM selection)) GROUP BY problem",
-    "redelivered_rows": "SELECT short_id, archive, row_number, surplus FROM (SELECT * EXCLUDE (scanned_at), count(*) - 1 AS surplus FROM ids GROUP BY ALL) WHERE surplus > 0",
     "inherited_exclusions": "SELECT DISTINCT sample_id, 'parent' AS origin FROM qwen_asr WHERE status = 'failed' UNION ALL SELECT DISTINCT sample_id, 'addition' FROM speaker_structure WHERE status = 'failed' AND sample_id NOT IN (SELECT sample_id FROM qwen_asr WHERE status = 'failed')",
     "split_coverage": f"WITH {BASE} SELECT 'repeated' AS problem, count(*) AS n_keys FROM base WHERE sample_rate = 22050",
     "snapshot_round_trip": f"WITH {DECIDED}, {GROUPS} SELECT count(*) AS selected FROM resolved WHERE reason = 0",
-    "status_row_violations": """SELECT dataset_id, 'payload_by_status' AS item, count(*) AS n FROM qwen_asr WHERE (text IS NOT NULL) <> coalesce(status = 'ok', false) GROUP BY 1
-UNION ALL SELECT dataset_id, 'error_by_status', count(*) FROM qwen_asr WHERE (error_code IS NULL) <> coalesce(status = 'ok', false) GROUP BY 1""",
     "carrier_candidates": """WITH c AS (SELECT * EXCLUDE (priority, error), native_frames + archive % 3 - 1 AS b, CASE carrier_type WHEN 'short' THEN 0 WHEN 'long' THEN 2 WHEN 'dialogue' THEN 4 END AS priority FROM ids),
 e AS (SELECT *, CASE WHEN priority IS NULL THEN 'unknown_carrier_type' WHEN NOT coalesce(native_frames > 0 AND sample_rate > 0, false) THEN 'invalid_timeline' WHEN coalesce(recording_id, '') = '' THEN 'missing_identity' END AS carrier_error FROM c)
 SELECT carrier_type, priority, CASE WHEN carrier_error IS NOT NULL THEN NULL WHEN NOT (0 < b AND b <= native_frames) THEN 'invalid_short_bounds' WHEN carrier_type = 'short' AND b <> native_frames THEN 'standalone_short_not_full_carrier' END AS error, carrier_error, count(*) AS n_rows FROM e GROUP BY ALL""",
-    "placed_rows": "SELECT count(*) AS n_rows, 0 AS first_index FROM ids",
-    "source_inventory": "SELECT '.parquet' AS extension, true AS present",
     "model_annotation": f"WITH {BASE} SELECT CASE WHEN text IS NULL THEN 'skipped' ELSE 'ok' END AS status, CASE WHEN text IS NULL THEN 'missing_input' END AS error_code, count(*) AS n_rows FROM base GROUP BY 1, 2",
-    "audio_containers": "SELECT 'wav' AS container, count(*) AS n_rows FROM embeddings",
     "stream_once": "SELECT event_id, any_value(event_type) AS event_type FROM events GROUP BY event_id",
     "stream_tumbling": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }
@@ -357,3 +349,21 @@ joined AS (SELECT s.* EXCLUDE (repetition), h.* EXCLUDE (sample_id), d.status AS
 judged AS (SELECT j.*, {_letters('st')} AS ec, {_share('st', 'sl')} AS share, path, coverage, asr_status IS NOT NULL AS heard, coalesce(asr_status = 'ok', false) AS heard_ok, coalesce(sl IN ({_list(_RULES['supported_languages'])}), false) AS supported FROM joined j JOIN repeated USING (sample_id)),
 called AS (SELECT *, st = '' OR length(ec) < 3 AS short FROM judged)
 SELECT sample_id, coalesce(list_filter({_PRIORITY}, lambda p: list_contains({_FOUND}, p))[1], 0) AS reason, {_BITS} AS flags, path AS repetition_path FROM called"""
+
+_KINDS = {"[Laughter]": r"<laughter>|\[laughing\]", "[Cough]": r"<cough>|\[coughing\]", "[Crying]": r"<crying>|\[crying\]", "[Sigh]": r"\[sigh\]", "[Breathing]": r"\[breath\]", "[Sniff]": r"\[sniff\]"}
+_TAGGED = "text"
+for _tag, _pattern in _KINDS.items():
+    _TAGGED = f"regexp_replace({_TAGGED}, '{_pattern}', '{_tag}', 'g')"
+ORACLE |= {
+    "placed_rows": "SELECT short_id, archive, row_number, row_number() OVER () - 1 AS row_index FROM ids",
+    "audio_containers": "SELECT CASE WHEN vec_id % 2 = 0 THEN 'wav' ELSE ['flac', 'ogg', 'caf', 'mp3_id3', 'mp3', 'unknown'][vec_id % 6 + 1] END AS container, count(*) AS n_rows FROM embeddings GROUP BY 1",
+    "status_row_violations": " UNION ALL ".join(f"SELECT dataset_id, '{item}' AS item, count(*) AS n FROM qwen_asr WHERE {check} GROUP BY 1" for item, check in {
+        "payload_by_status": "(text IS NOT NULL) <> coalesce(status = 'ok', false)", "error_by_status": "(error_code IS NULL) <> coalesce(status = 'ok', false)", "blank_payload": f"regexp_matches(text, '^{_WS}*$')", "unfinished": "finished_at IS NULL", "several_attempts": "attempts > 1",
+    }.items()),
+    "nested_array_validate": f"WITH {TURNS} SELECT sample_id, len(list_filter(result.turns, lambda t: NOT coalesce((t.start_sample % 2060 + 2060) % 2060 < 2048 AND (t.end_sample % 2060 + 2060) % 2060 < 2048, false))) = 0 AS valid FROM diarised WHERE status = 'ok'",
+    "redelivered_rows": "SELECT sample_id, status, sum(n)::BIGINT AS surplus FROM (SELECT sample_id, status, 1 AS n FROM qwen_asr UNION ALL SELECT sample_id, status, -1 FROM speaker_structure) GROUP BY ALL HAVING sum(n) <> 0",
+    "known_exclusions": f"WITH {BASE} SELECT dataset_id, count(*) FILTER (num_frames = 1) AS single_frame, count(*) FILTER (duration_seconds > 300) AS too_long FROM base GROUP BY dataset_id",
+    "event_tags": rf"""WITH {BASE}, m AS (SELECT sample_id, text AS raw, {_TAGGED} AS text FROM base WHERE regexp_matches(text, '[<>\[\]]')),
+c AS (SELECT sample_id, raw, trim(regexp_replace(text, '[ \t]+', ' ', 'g')) AS text, regexp_extract_all(text, '\[([A-Z][a-z]+)\]', 1) AS found FROM m)
+SELECT sample_id, text, array_to_string(found, ',') AS target_tags, CASE WHEN text = raw THEN 'keep' ELSE 'replace' END AS action, NULL::VARCHAR AS error FROM c""",
+}

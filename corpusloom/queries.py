@@ -16,7 +16,7 @@ from corpusloom.operators import windows as win
 from corpusloom.operators.intervals import periods_and_gaps
 from corpusloom.oracle import ORACLE  # noqa: F401
 from corpusloom.plans import selection as plan
-from corpusloom.plans.rules import Evidence, Rules, decide, dictionary, primary, revision_text, text_override, timeline_violations
+from corpusloom.plans.rules import Evidence, Rules, decide, dictionary, primary, revision_text, speaker_outcome, text_override, timeline_violations
 from corpusloom.sources import base as base_source
 from corpusloom.shared import shared_folder
 from corpusloom.sources import carriers, files, sinks
@@ -171,7 +171,8 @@ def markup_flag(spark, folder):
 
 @query
 def known_exclusions(spark, folder):
-    return _base(spark, folder).where("num_frames = 1 or duration_seconds > 30").groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Samples of a single frame, and ones beyond 300 seconds, which no rule document admits."""
+    return _base(spark, folder).groupBy("dataset_id").agg(F.count_if(F.col("num_frames") == 1).alias("single_frame"), F.count_if(F.col("duration_seconds") > 300).alias("too_long"))
 
 
 @query
@@ -192,10 +193,9 @@ def reason_dictionary(spark, folder):
 
 @query
 def speaker_count_outcomes(spark, folder):
-    n = F.col("result.speaker_count")
     rows = joins.latest_ok(table(spark, folder, "speaker_structure"), "sample_id")
-    outcome = F.when((F.col("status") != "ok") | n.isNull(), "unavailable").when(n == 1, "passed").otherwise(F.concat(F.lit("count_"), F.least(n, F.lit(4)).cast("string")))
-    return rows.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"))
+    judged = rows.select(F.struct("status", F.col("result.speaker_count").alias("speaker_count")).alias("speakers"))
+    return judged.groupBy(speaker_outcome(1).alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query
@@ -446,9 +446,10 @@ def quoted_speakers(spark, folder):
 
 @query
 def event_tags(spark, folder):
-    text = F.regexp_replace("text", r"<laughter>|\[(?:laughing|sigh)\]|\(breath\)", "")
-    rows = _base(spark, folder).withColumn("marked", F.concat(F.coalesce(text, F.lit("")), F.lit(" <laughter>")))
-    return rows.select("sample_id", tags.convert_tags(F.col("marked"), F.lit("angled")).alias("t")).select("sample_id", "t.text", "t.target_tags", "t.action", "t.error")
+    """The markup that texts really hold, by the dialect that it is written in."""
+    dialect = F.when(F.contains("text", F.lit("<")), "angled").otherwise("bracketed")
+    rows = _base(spark, folder).where(F.col("text").rlike(r"[<>\[\]]"))
+    return rows.select("sample_id", tags.convert_tags(F.col("text"), dialect).alias("t")).select("sample_id", "t.text", F.array_join("t.target_tags", ",").alias("target_tags"), "t.action", "t.error")
 
 
 @query
@@ -512,7 +513,8 @@ def vector_finite_norm(spark, folder):
 
 @query
 def nested_array_validate(spark, folder):
-    codes = F.transform("turns", lambda t: F.array(F.pmod(t["start_sample"], F.lit(2048)).cast("int"), F.pmod(t["end_sample"], F.lit(2048)).cast("int")))
+    """Turns as pairs of codes, some of which are beyond the 2048 that are allowed."""
+    codes = F.transform("turns", lambda t: F.array(F.pmod(t["start_sample"], F.lit(2060)).cast("int"), F.pmod(t["end_sample"], F.lit(2060)).cast("int")))
     return _turns(spark, folder).select("sample_id", frames.valid_codes(codes, F.size("turns"), 2, 2048).alias("valid"))
 
 
@@ -610,8 +612,8 @@ def set_equality_both_ways(spark, folder):
 
 @query
 def redelivered_rows(spark, folder):
-    rows = table(spark, folder, "ids").drop("scanned_at")
-    return sets.bag_difference(rows, rows.distinct()).select("short_id", "archive", "row_number", "surplus")
+    """Attempts of one annotation that another doesn't have as often, and the other way round."""
+    return sets.bag_difference(*[table(spark, folder, name, "sample_id", "status") for name in ("qwen_asr", "speaker_structure")]).select("sample_id", "status", F.col("surplus").cast("long").alias("surplus"))
 
 
 @query
@@ -639,13 +641,13 @@ def snapshot_round_trip(spark, folder):
 
 @query
 def source_inventory(spark, folder):
-    return files.inventory(spark, folder).groupBy("extension").agg(F.sum("files").alias("files")).where("extension = '.parquet'").select("extension", (F.col("files") > 0).alias("present"))
+    """Files and bytes of the folder by extension; from the listing, so no SQL can check it."""
+    return files.inventory(spark, folder).groupBy("extension").agg(F.sum("files").alias("files"), F.sum("n_bytes").alias("n_bytes"))
 
 
 @query
 def placed_rows(spark, folder):
-    rows = spark.read.parquet(f"{folder}/ids.parquet").select("short_id", F.col("_metadata.row_index").alias("row_index"))
-    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.min("row_index").alias("first_index"))
+    return files.parquet_rows(spark, f"{folder}/ids.parquet").select("short_id", "archive", "row_number", F.col("_row").alias("row_index"))
 
 
 def _tone(spark, folder):
@@ -663,7 +665,10 @@ def audio_statistics(spark, folder):
 
 @query
 def audio_containers(spark, folder):
-    return _tone(spark, folder).groupBy(audio.container(F.col("audio")).alias("container")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Every other vector's file with the first bytes of another container."""
+    first = F.element_at(F.array(*[F.lit(m) for m in (b"fLaC", b"OggS", b"caff", b"ID3", b"\xff\xfb", b"none")]), (F.col("vec_id") % 6 + 1).cast("int"))
+    audio_ = F.when(F.col("vec_id") % 2 == 0, F.col("audio")).otherwise(F.concat(first, F.col("audio")))
+    return _tone(spark, folder).groupBy(audio.container(audio_).alias("container")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query
@@ -684,7 +689,8 @@ def selected_metadata(spark, folder):
 @query
 def status_row_violations(spark, folder):
     rows = table(spark, folder, "qwen_asr")
-    return agg.array_histogram(rows.withColumn("v", features.violations(*features.payload_violations("text"))), "v", "dataset_id")
+    checks = [*features.payload_violations("text"), ("blank_payload", F.col("text").isNull() | F.col("text").rlike(r"(?U)\S")), ("unfinished", F.col("finished_at").isNotNull()), ("several_attempts", F.col("attempts") <= 1)]
+    return agg.array_histogram(rows.withColumn("v", features.violations(*checks)), "v", "dataset_id")
 
 
 @query

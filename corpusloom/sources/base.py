@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.audio import BadAudio, wav_chunks
+from corpusloom.functions.audio import BadAudio, header
 from corpusloom.functions.digests import digest_of, record_revision
 
 VERSION = "1"
@@ -37,25 +37,15 @@ def schema_digest(schema: T.StructType = SCHEMA) -> str:
 
 
 def audio_header(data: Column) -> Column:
-    """struct(sample_rate, channels, num_frames) from a WAV header; nulls for other containers."""
+    """struct(sample_rate, channels, num_frames) from the header of a WAV, FLAC, MP3 or OGG file; nulls for other containers and broken files."""
 
     @F.pandas_udf("sample_rate int, channels smallint, num_frames bigint")
     def run(c: pd.Series) -> pd.DataFrame:
-        import struct
-
         def one(raw):
             try:
-                form = size = None
-                for name, at, n in wav_chunks(bytes(raw)) if raw is not None else ():
-                    if name == b"fmt ":
-                        form = struct.unpack_from("<HHIIHH", raw, at)
-                    elif name == b"data":
-                        size = n
-                if form and size is not None and form[4]:
-                    return form[2], form[1], size // form[4]
-            except (BadAudio, struct.error):
-                pass
-            return None, None, None
+                return header(bytes(raw)) if raw is not None else (None,) * 3
+            except BadAudio:
+                return (None,) * 3
 
         return pd.DataFrame([one(raw) for raw in c], columns=["sample_rate", "channels", "num_frames"], dtype="Int64")
 

@@ -1,12 +1,13 @@
 """Readers: Parquet rows with their place, JSON arrays, archives of any order, pinned lists.
 
-Each archive is read where its bytes are, streamed member by member; joining members to
-their metadata is a Spark aggregation, so neither arrival order nor archive size matters.
+Each archive is opened by the task that reads it and streamed member by member, whatever its
+size.  Members of one stem are paired there while few are waiting; lists and transcripts that
+lie elsewhere are joined by key, so arrival order doesn't matter.
 """
 
 from __future__ import annotations
 
-import io
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
@@ -50,9 +51,9 @@ def safe_member(name: str) -> str | None:
     return "unsafe_path" if name.startswith("/") or "\\" in name or ".." in parts or not name else None
 
 
-def _tar(raw: bytes) -> Iterator[tuple[str, int, bytes, str | None]]:
+def _tar(stream) -> Iterator[tuple[str, int, bytes, str | None]]:
     try:
-        with tarfile.open(fileobj=io.BytesIO(raw), mode="r|*") as archive:
+        with tarfile.open(fileobj=stream, mode="r|*") as archive:
             for m in archive:
                 if m.isdir():
                     continue
@@ -62,13 +63,16 @@ def _tar(raw: bytes) -> Iterator[tuple[str, int, bytes, str | None]]:
                 data = archive.extractfile(m).read()
                 yield m.name, m.size, data, safe_member(m.name) or ("truncated" if len(data) != m.size else None)
                 archive.members = []
+            # a whole archive ends with a block of zeros, which the reader has taken as its last header
+            if archive.fileobj.tell() == archive.offset:
+                yield "", 0, b"", "missing_terminator"
     except (tarfile.TarError, EOFError, OSError) as e:
         yield "", 0, b"", f"broken_archive:{type(e).__name__}"
 
 
-def _zip(raw: bytes) -> Iterator[tuple[str, int, bytes, str | None]]:
+def _zip(stream) -> Iterator[tuple[str, int, bytes, str | None]]:
     try:
-        with zipfile.ZipFile(io.BytesIO(raw)) as archive:
+        with zipfile.ZipFile(stream) as archive:
             for m in archive.infolist():
                 if m.is_dir():
                     continue
@@ -79,26 +83,47 @@ def _zip(raw: bytes) -> Iterator[tuple[str, int, bytes, str | None]]:
         yield "", 0, b"", f"broken_archive:{type(e).__name__}"
 
 
-def archive_members(spark: SparkSession, path: str, kind: str = "tar", glob: str = "*") -> DataFrame:
-    """(archive, member, n_bytes, content, problem) of the files in tar (also compressed) or zip archives."""
-    read = {"tar": _tar, "zip": _zip}[kind]
+def opened(path: str):
+    """A file of any file system that the workers reach, as a seekable stream."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    return system.open_input_file(name)
+
+
+def archive_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(path, length) of archives, each in a task of its own as far as there are tasks."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "length").repartition("path")
+
+
+def archive_members(spark: SparkSession, path: str, kind: str = "tar", glob: str = "*", only: str | None = None) -> DataFrame:
+    """(archive, member, n_bytes, content, problem) of the files in tar (also compressed) or zip archives.
+
+    only: a regular expression of the members whose content is wanted; problems are always
+    given.
+    """
+    read = {"tar": _tar, "zip": _zip}[kind]
+    wanted = re.compile(only) if only else None
     schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("n_bytes", pa.int64()), ("content", pa.binary()), ("problem", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name in batch.column(0).to_pylist():
                 rows, held = [], 0
-                for member, size, data, problem in read(raw):
-                    rows.append({"archive": name, "member": member, "n_bytes": size, "content": data, "problem": problem})
-                    held += len(data)
-                    if held > 16 << 20:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows, held = [], 0
+                with opened(name) as stream:
+                    for member, size, data, problem in read(stream):
+                        if problem is None and wanted and not wanted.search(member):
+                            continue
+                        rows.append({"archive": name, "member": member, "n_bytes": size, "content": data, "problem": problem})
+                        held += len(data)
+                        if held > 16 << 20:
+                            yield pa.RecordBatch.from_pylist(rows, schema)
+                            rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return files.select("path", "content").mapInArrow(run, MEMBERS)
+    return archive_files(spark, path, glob).mapInArrow(run, MEMBERS)
 
 
 def paired(members: DataFrame, kinds: dict[str, str]) -> DataFrame:

@@ -235,3 +235,27 @@ def test_models(spark):
     got = {r.k: (r.status, r.error_code, r.result) for r in models.annotate(df, "k", "v", make, "double").collect()}
     assert got == {"a": ("ok", None, 2.0), "b": ("skipped", "missing_input", None), "c": ("failed", "RuntimeError", None), "d": ("ok", None, 0.0)}
     assert json.loads(json.dumps(models.hashed_embedding(2)()(["x"])))[0] == models.hashed_embedding(2)()(["x"])[0]
+
+
+def test_headers_of_containers():
+    flac = b"fLaC" + bytes([0, 0, 0, 34]) + bytes(10) + (44100 << 44 | 1 << 41 | 15 << 36 | 1234).to_bytes(8) + bytes(16)
+    assert audio.header(flac) == (44100, 2, 1234)
+    frame = bytes([0xFF, 0xFB, 0x90, 0xC0]) + bytes(413)  # version 1, layer 3, 128 kbit/s, 44.1 kHz, mono: 417 bytes
+    assert audio.header(frame * 3) == (44100, 1, 3 * 1152)
+    tag = b"ID3" + bytes([4, 0, 0, 0, 0, 0, 5]) + bytes(5)
+    info = bytearray(frame)
+    info[21:25] = b"Info"
+    info[28] = 1
+    info[33:37] = b"LAME"
+    info[33 + 21 : 33 + 24] = (576 << 12 | 1000).to_bytes(3)
+    assert audio.header(tag + bytes(info) + frame * 3) == (44100, 1, 3 * 1152 - 1576)
+    low = bytes([0xFF, 0xF3, 0x40, 0xC0]) + bytes(140)  # version 2, 32 kbit/s, 22.05 kHz
+    size = 72 * 32000 // 22050
+    assert audio.header((low + bytes(200))[:size] * 4) == (22050, 1, 4 * 576)
+    page = lambda granule, body: b"OggS" + bytes(2) + granule.to_bytes(8, "little") + bytes(12) + bytes([1, len(body)]) + body
+    vorbis = b"\x01vorbis" + bytes(4) + bytes([2]) + (48000).to_bytes(4, "little") + bytes(14)
+    opus = b"OpusHead" + bytes([1, 1]) + (312).to_bytes(2, "little") + bytes(7)
+    assert audio.header(page(0, vorbis) + page(960, b"x")) == (48000, 2, 960) and audio.header(page(0, opus) + page(1272, b"x")) == (48000, 1, 960)
+    for bad in (b"", b"fLaC", b"RIFF", b"OggS", b"ID3", b"xyz", frame[:2]):
+        with pytest.raises(audio.BadAudio):
+            audio.header(bad)

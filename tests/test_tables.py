@@ -142,6 +142,56 @@ def test_archives_pair_in_any_order(spark, tmp_path):
     assert rows(source("emilia").problems(spark, str(tmp_path)).select("member", "problem")) == [("x/c", "missing_meta"), ("x/d", "missing_audio")]
 
 
+def flac(rate, channels, frames):
+    """Header of a FLAC file."""
+    return b"fLaC" + bytes([128, 0, 0, 34]) + bytes(10) + (rate << 44 | (channels - 1) << 41 | 15 << 36 | frames).to_bytes(8) + bytes(16)
+
+
+def test_manifests_and_lists(spark, tmp_path):
+    for name in ("h", "m", "w", "s", "f"):
+        (tmp_path / name).mkdir()
+    said = {"audio_filepath": "audio/92_clean/8_book/x_01.flac", "text": "hi", "text_no_preprocessing": "Hi.", "text_normalized": "hi"}
+    (tmp_path / "h/hifi.tar.gz").write_bytes(tar_bytes([("hi_fi/audio/92_clean/8_book/x_01.flac", flac(44100, 1, 441)), ("hi_fi/92_manifest_clean_dev.json", (json.dumps(said) + "\n").encode()), ("hi_fi/audio/92_clean/8_book/alone.flac", flac(44100, 1, 1))], "w:gz"))
+    (r,) = source("hifitts").read(spark, str(tmp_path / "h")).collect()
+    assert (r.source_key, r.text, r.speaker_id, r.group_id, r.num_frames, [v.kind for v in r.text_variants]) == (said["audio_filepath"], "Hi.", "hifitts:92", "hifitts:book:8_book", 441, ["source_preprocessed", "source_normalized"])
+    assert json.loads(r.metadata_json)["original_split"] == "dev" and json.loads(r.metadata_json)["upstream"]["text"] == "hi"
+    assert rows(source("hifitts").problems(spark, str(tmp_path / "h")).select("member", "problem")) == [("hi_fi/audio/92_clean/8_book/alone.flac", "missing_manifest")]
+
+    (tmp_path / "m/german").mkdir()
+    (tmp_path / "m/german/dev-0001.tar.gz").write_bytes(tar_bytes([("1_2_3.metadata.json", json.dumps({"id": "1_2_3", "speaker_id": 1, "transcript": "ja"}).encode()), ("1_2_3.flac", flac(24000, 1, 24)), ("9_9_9.flac", flac(24000, 1, 24)), ("9_9_9.metadata.json", b'{"id": "8"}')], "w:gz"))
+    (r,) = source("mls_sidon").read(spark, str(tmp_path / "m"), config="german").collect()
+    assert (r.source_key, r.text, r.language, r.speaker_id, r.source_config, r.sample_rate) == ("german:1_2_3", "ja", "de", "mls_sidon:german:1", "german", 24000) and json.loads(r.metadata_json)["original_split"] == "valid"
+
+    for folder in ("Premium", "filelists", "DNSMOS_P808Scores"):
+        (tmp_path / "w" / folder).mkdir()
+    key, prefix = "X1_S00001", "WenetSpeech4TTS_Premium_0"
+    (tmp_path / f"w/Premium/{prefix}.tar.gz").write_bytes(tar_bytes([(f"{prefix}/wavs/{key}.wav", wav([0.1] * 8)), (f"{prefix}/txts/{key}.txt", f"{key}\t你好\n1,2".encode())], "w:gz"))
+    (tmp_path / "w/filelists/Basic_filelist.lst").write_text(f"{key}\t../Premium/{prefix}/wavs/{key}.wav\t../Premium/{prefix}/txts/{key}.txt\nX2\ta/X2.wav\tb\n")
+    (tmp_path / "w/DNSMOS_P808Scores/Basic_DNSMOS.lst").write_text(f"{key} 3.25\nX2 2\n")
+    (r,) = source("wenetspeech4tts").read(spark, str(tmp_path / "w"), config="Premium").collect()
+    assert (r.source_key, r.text, r.recording_id, r.num_frames, json.loads(r.metadata_json)["upstream_dnsmos_p808"]) == (key, "你好", "wenetspeech4tts:X1", 8, 3.25)
+    assert ("X2", "missing_audio") in rows(source("wenetspeech4tts").problems(spark, str(tmp_path / "w")).select("member", "problem"))
+
+    clip = "SMIIP_NV_Up/MIC-0001/高兴/MIC-0001_0001"
+    with zipfile.ZipFile(tmp_path / "s/SMIIP_NV.zip", "w") as z:
+        z.writestr(f"{clip}.wav", wav([0.1] * 6))
+        z.writestr("SMIIP_NV_Up/MIC-0001/高兴/annotation.txt", "MIC-0001_0001.wav\t<crying/>好</crying>\t[0, 1]\nMIC-0001_0001.wav\t好<crying>\t[0.5, 1]\n")
+    with zipfile.ZipFile(tmp_path / "s/SMIIP_NV_SPK_finetune.zip", "w") as z:
+        z.writestr("SMIIP_NV_SPK_finetune/spk_test/MIC-0001_0001.wav", wav([0.1] * 6))
+    (r,) = source("smiip_nv").read(spark, str(tmp_path / "s")).collect()
+    meta = json.loads(r.metadata_json)
+    assert (r.source_key, r.text, r.speaker_id, [v.kind for v in r.text_variants]) == ("MIC-0001_0001", "好<crying>", "smiip_nv:MIC-0001", ["source_transcript_paralinguistic_span"])
+    assert (meta["emotion"], meta["original_split_group"], meta["annotations"][0]["intervals"]) == ("happy", "test", [{"start": 0.5, "end": 1.0}])
+
+    for folder in ("resolved_json", "audio/emilia/EN"):
+        (tmp_path / "f" / folder).mkdir(parents=True)
+    (tmp_path / "f/audio/emilia/EN/a.wav").write_bytes(wav([0.1] * 9))
+    (tmp_path / "f/resolved_json/emilia_en_ds.json").write_text(json.dumps([{"wav_path": "audio/emilia/EN/a.wav", "text": "Hi", "instruction": "calm"}, {"wav_path": "audio/../x.wav", "text": "no", "instruction": None}, {"wav_path": "audio/emilia/EN/b.wav", "text": " ", "instruction": None}]))
+    (r,) = source("flexivoice").read(spark, str(tmp_path / "f"), config="emilia_en_ds").collect()
+    assert (r.source_key, r.text, r.language, r.num_frames, r.group_id) == ("emilia_en_ds:0", "Hi", "en", 9, "flexivoice:audio:audio/emilia/EN/a.wav")
+    assert [p for _, p in rows(source("flexivoice").problems(spark, str(tmp_path / "f")).select("member", "problem"))] == ["unsafe_path", "missing_audio"]
+
+
 def test_table_in_an_archive(spark, tmp_path):
     lines = "LJ1-1|Hello, Dr. X|Hello, Doctor X\nLJ1-2|Gone|Gone\nLJ1-3||\n"
     members = [("LJ/metadata.csv", lines.encode()), ("LJ/wavs/LJ1-1.wav", wav([0.1] * 5)), ("LJ/wavs/LJ1-3.wav", wav([0.1] * 7))]
@@ -158,10 +208,16 @@ def test_table_in_an_archive(spark, tmp_path):
 
 def test_zip_names_and_parquet_sources(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "v.zip", "w") as z:
-        z.writestr("wav/p225_001_mic1.wav", wav([0.1] * 4))
-        z.writestr("wav/p225_001_mic1.txt", "Please call")
-    (r,) = source("vctk").read(spark, str(tmp_path), config="mic1").collect()
-    assert (r.speaker_id, r.text, r.source_config) == ("vctk:p225", "Please call", "mic1")
+        for mic in (1, 2):
+            z.writestr(f"VCTK/wav48_silence_trimmed/p225/p225_001_mic{mic}.flac", flac(48000, 1, 96000))
+        z.writestr("VCTK/wav48_silence_trimmed/p315/p315_007_mic1.flac", flac(48000, 1, 48000))
+        z.writestr("VCTK/txt/p225/p225_001.txt", "Please call Stella.\n")
+        z.writestr("VCTK/speaker-info.txt", "ID AGE GENDER\np225 23 F English\n")
+    got = {r.source_key: r for r in source("vctk").read(spark, str(tmp_path)).collect()}
+    assert {k: (r.text, r.speaker_id, r.group_id, r.sample_rate, r.num_frames) for k, r in got.items()} == {
+        "p225_001_mic1": ("Please call Stella.", "vctk:p225", "vctk:p225_001", 48000, 96000), "p225_001_mic2": ("Please call Stella.", "vctk:p225", "vctk:p225_001", 48000, 96000), "p315_007_mic1": (None, "vctk:p315", "vctk:p315_007", 48000, 48000),
+    }
+    assert json.loads(json.loads(got["p225_001_mic2"].metadata_json)["upstream_speaker_info"]) == ["23", "F", "English"]
     with pytest.raises(ValueError):
         source("vctk").read(spark, str(tmp_path), config="mic9")
     with pytest.raises(ValueError):
