@@ -103,3 +103,10 @@ def json_score(metadata: Column, path: str) -> Column:
         .when(numeric, row(number, "ok", None))
         .otherwise(row(none, "failed", "invalid_score"))
     )
+
+
+def run_problem(run_id: Column, finished_at: Column) -> Column:
+    """What is wrong with a run's times: its id begins with the Beijing time of its start, and it ends later, with that offset written; null if nothing."""
+    began = F.try_to_timestamp(F.concat(F.regexp_extract(run_id, r"^(\d{8}T\d{6})", 1), F.lit("+0800")), F.lit("yyyyMMdd'T'HHmmssZ"))
+    ended = F.when(finished_at.rlike(r"([+-]\d\d:\d\d|Z)$"), finished_at.try_cast("timestamp"))
+    return F.when(began.isNull(), "unreadable_run_id").when(ended.isNull(), "unreadable_time").when(ended < began, "finished_before_start").when(~finished_at.endswith("+08:00"), "other_offset")

@@ -39,6 +39,14 @@ def speaker_of(subset: Column, path: Column) -> Column:
     return F.coalesce(*found, out)
 
 
+def recording_style(subset: Column, path: Column) -> Column:
+    """Style that a clip's path says was asked for; null for subsets whose paths say nothing."""
+    words = F.split(F.regexp_replace(_name(path), r"[.][^.]*$", ""), "_")
+    ears = F.when(words[0] == "emo", F.concat(F.lit("emotion: "), F.try_element_at(words, F.lit(2)))).otherwise(F.try_element_at(words, F.lit(-1)))
+    folder = F.try_element_at(F.split(path, "/"), F.when(F.contains(path, F.lit("/read/")), -3).otherwise(-2))
+    return F.when(subset == "ears", ears).when(subset == "expresso", folder)
+
+
 def repaired(text: Column, repairs: dict[str, str]) -> Column:
     """struct(text, action) after literal replacements: keep, replace, or skip for blank texts."""
     out = text

@@ -109,6 +109,14 @@ def sorted_set_sha256(df: DataFrame, value: str) -> str:
     return state.hexdigest()
 
 
+def throughput(states: DataFrame, by: str, status: str, began: str, ended: str, rows: str) -> DataFrame:
+    """(by, units, finished, failed, open, n_rows, busy_seconds, rows_per_second) of the units of a run; a unit without an end is open."""
+    done = (F.col(status) == "ok") & F.col(ended).isNotNull()
+    took = F.when(done, (F.unix_micros(F.col(ended).cast("timestamp")) - F.unix_micros(F.col(began).cast("timestamp"))) / 1e6)
+    out = states.groupBy(by).agg(F.count(F.lit(1)).alias("units"), F.count_if(done).alias("finished"), F.count_if(F.col(status) == "failed").alias("failed"), F.count_if(F.col(ended).isNull()).alias("open"), F.coalesce(F.sum(F.when(done, F.col(rows))), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(took), F.lit(0.0)).alias("busy_seconds"))
+    return out.withColumn("rows_per_second", F.try_divide("n_rows", "busy_seconds"))
+
+
 def shard_gaps(df: DataFrame, shard: str, total: str, *by: str) -> DataFrame:
     """(by, missing): numbers of shards that a set of files of known total lacks."""
     have = df.groupBy(*by).agg(F.max(total).alias("__t"))

@@ -136,6 +136,28 @@ def budget_batches(df: DataFrame, length: str, unique: str, budget: int, group_r
     return rows.groupBy("salt").applyInPandas(run, f"`{unique}` {kind}, length bigint, salt int, batch_no bigint")
 
 
+def byte_batches(files: DataFrame, group: str, path: str, size: str, most: int) -> DataFrame:
+    """(group, path, size, batch_no): files of a group in order of their paths, in batches that hold at most `most` bytes, or one larger file.
+
+    A sequential fold over a listing, of which there is one row per file.
+    """
+    import pandas as pd
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(path)
+        no, held, out = 0, 0, []
+        for n in pdf[size].tolist():
+            if held and held + n > most:
+                no, held = no + 1, 0
+            held += n
+            out.append(no)
+        return pdf.assign(batch_no=out)
+
+    rows = files.select(group, path, F.coalesce(F.col(size).cast("long"), F.lit(0)).alias(size)).where(F.col(path).isNotNull())
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    return rows.groupBy(group).applyInPandas(run, ", ".join(f"`{n}` {k}" for n, k in kinds.items()) + ", batch_no bigint")
+
+
 def threshold_tasks(sizes: DataFrame, part: str, size: str, most: int) -> list[tuple[str, int, int]]:
     """(part, size, task) of files in order: a task closes once it holds `most`.
 

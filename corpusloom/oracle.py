@@ -367,3 +367,11 @@ ORACLE |= {
 c AS (SELECT sample_id, raw, trim(regexp_replace(text, '[ \t]+', ' ', 'g')) AS text, regexp_extract_all(text, '\[([A-Z][a-z]+)\]', 1) AS found FROM m)
 SELECT sample_id, text, array_to_string(found, ',') AS target_tags, CASE WHEN text = raw THEN 'keep' ELSE 'replace' END AS action, NULL::VARCHAR AS error FROM c""",
 }
+ORACLE |= {
+    "selection_publication": f"""WITH {DECIDED}, {GROUPS} SELECT 'decisions' AS part, count(*) AS n_rows FROM base UNION ALL SELECT 'duplicates', count(*) FROM resolved WHERE members IS NOT NULL UNION ALL SELECT 'exclusions', count(DISTINCT sample_id) FROM speaker_structure WHERE status = 'failed'
+UNION ALL SELECT 'reasons', {len(REASONS)} UNION ALL SELECT 'flags', {len(FLAGS)} UNION ALL SELECT 'text_sources', 2""",
+    "sample_exclusions": f"WITH {DECIDED}, x AS (SELECT DISTINCT sample_id FROM speaker_structure WHERE status = 'failed') SELECT d.sample_id, CASE WHEN x.sample_id IS NOT NULL THEN 105 ELSE reason END AS reason, CASE WHEN x.sample_id IS NOT NULL THEN flags | {BIT['source_timeline']} ELSE flags END AS flags FROM decided d LEFT JOIN x USING (sample_id)",
+    "generation_units": f"WITH {BASE} SELECT sha256('[' || {_json('text_kind')} || ', ' || {_json('language')} || ']') AS unit, count(*) AS n_rows FROM base GROUP BY 1",
+    "run_throughput": """SELECT dataset_id, count(*) AS units, count(*) FILTER (status = 'ok' AND finished_at IS NOT NULL) AS finished, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (finished_at IS NULL) AS open, coalesce(sum(request_frames) FILTER (status = 'ok' AND finished_at IS NOT NULL), 0)::BIGINT AS n_rows,
+  round(coalesce(sum(attempts) FILTER (status = 'ok' AND finished_at IS NOT NULL), 0)::DOUBLE * 60, 3) AS busy_seconds, round(sum(request_frames) FILTER (status = 'ok' AND finished_at IS NOT NULL)::DOUBLE / (sum(attempts) FILTER (status = 'ok' AND finished_at IS NOT NULL)::DOUBLE * 60), 6) AS rows_per_second FROM qwen_asr GROUP BY dataset_id""",
+}

@@ -6,13 +6,14 @@ one aggregation each.  Nothing is written between the steps.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as tx
+from corpusloom.functions.digests import text_revision
 from corpusloom.functions.hashes import digest64
 from corpusloom.operators.dedup import reference_pool, resolve_duplicates
-from corpusloom.operators.joins import latest_ok
+from corpusloom.operators.joins import latest_ok, small
 from corpusloom.plans.rules import Evidence, Rules, decide
 
 # Labels of ten languages.
@@ -56,13 +57,33 @@ def select(base: DataFrame, rules: Rules, evidence: Evidence = Evidence(), utter
     return out
 
 
-def decision_columns(selected: DataFrame) -> DataFrame:
-    """What a selection publishes per row: reason, flags and sparse overrides."""
+def with_exclusions(base: DataFrame, exclusions: DataFrame, normalization: str = "strip") -> DataFrame:
+    """`base` with exclusion_reasons from (sample_id, reason, text_revision).
+
+    A sample may be excluded for several reasons.  An exclusion that names the revision of
+    the text it was made for fails the job if the text is another one by now; a null holds
+    for any text.
+    """
+    listed = exclusions.groupBy(F.col("sample_id").alias("__id")).agg(F.collect_set("reason").alias("__reasons"), F.array_compact(F.collect_set("text_revision")).alias("__revisions"))
+    rows = base.join(small(listed), F.col("sample_id") == F.col("__id"), "left")
+    stale = (F.size("__revisions") > 0) & (F.coalesce(F.array_size("__revisions"), F.lit(0)) > F.when(F.array_contains("__revisions", text_revision(F.col("text"), normalization)), 1).otherwise(0))
+    checked = F.when(F.coalesce(stale, F.lit(False)), F.raise_error(F.concat(F.lit("exclusion of another text: "), F.col("sample_id"))).cast("array<int>")).otherwise(F.coalesce("__reasons", F.array().cast("array<int>")))
+    return rows.withColumn("exclusion_reasons", checked).drop("__id", "__reasons", "__revisions")
+
+
+def text_sources(spark: SparkSession, runs: dict[str, tuple[str, str]]) -> DataFrame:
+    """(text_source, kind, run, dataset_id): what the codes of selected texts stand for: 0 the base table, then the annotation run of each dataset."""
+    rows = [(0, "base", None, None), *((k, kind, run, dataset) for k, (dataset, (kind, run)) in enumerate(sorted(runs.items()), 1))]
+    return spark.createDataFrame(rows, "text_source int, kind string, run string, dataset_id string").coalesce(1)
+
+
+def decision_columns(selected: DataFrame, *more: str) -> DataFrame:
+    """What a selection publishes per row: reason, flags and sparse overrides, and the columns `more`."""
     from corpusloom.plans.rules import text_override
 
     own = text_override(F.col("text"), F.col("selected_text"), F.col("asr.status").isNotNull() if "asr" in selected.columns else F.lit(False))
     language = F.when(~F.col("selected_language").eqNullSafe(F.col("language")), F.col("selected_language"))
-    return selected.select("sample_id", F.col("reason").alias("selection_reason"), F.col("flags").alias("selection_flags"), own.alias("selected_text"), language.alias("selected_language"))
+    return selected.select("sample_id", F.col("reason").alias("selection_reason"), F.col("flags").alias("selection_flags"), own.alias("selected_text"), language.alias("selected_language"), *more)
 
 
 def by_reason(decided: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,7 @@ from corpusloom.operators import dedup, features, joins, sets, speakers
 from corpusloom.operators import windows as win
 from corpusloom.operators.intervals import periods_and_gaps
 from corpusloom.oracle import ORACLE  # noqa: F401
+from corpusloom.plans import publication
 from corpusloom.plans import selection as plan
 from corpusloom.plans.rules import Evidence, Rules, decide, dictionary, primary, revision_text, speaker_outcome, text_override, timeline_violations
 from corpusloom.sources import base as base_source
@@ -639,6 +642,37 @@ def snapshot_round_trip(spark, folder):
     return made.read(spark).where("selection_reason = 0").agg(F.count(F.lit(1)).alias("selected"))
 
 
+@query
+def selection_publication(spark, folder):
+    """Rows of each part of a selection that was published as a whole and opened again."""
+    base, root = _base(spark, folder), shared_folder(spark) + f"/selections-{uuid.uuid4().hex}"
+    failed = table(spark, folder, "speaker_structure").where("status = 'failed'").select("sample_id", F.lit(105).alias("reason"))
+    publication.publish_selection(plan.select(base, _rules()), root, "corpus", _rules(), sinks.pin(base, "sample_id"), failed, plan.text_sources(spark, {"tidebook_en": ("asr", "run-1")}))
+    parts = [s.read(spark).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(part).alias("part"), "n_rows") for part, s in publication.open_selection(spark, root, "corpus").items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@query
+def sample_exclusions(spark, folder):
+    """Decisions where recordings whose diarisation failed are listed as excluded, for the text that they have."""
+    base = _base(spark, folder)
+    failed = table(spark, folder, "speaker_structure").where("status = 'failed'").select("sample_id").distinct()
+    listed = base.join(failed, "sample_id").select("sample_id", F.lit(105).alias("reason"), digests.text_revision(F.col("text"), "strip").alias("text_revision"))
+    return decide(plan.with_exclusions(base, listed), _rules(), Evidence(sample_exclusion=True)).select("sample_id", "reason", "flags")
+
+
+@query
+def generation_units(spark, folder):
+    return _base(spark, folder).groupBy(digests.generation_unit(F.col("text_kind"), F.col("language")).alias("unit")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def run_throughput(spark, folder):
+    rows = table(spark, folder, "qwen_asr").select("dataset_id", "status", (F.col("finished_at") - F.expr("make_dt_interval(0, 0, attempts)")).alias("began"), "finished_at", "request_frames")
+    out = agg.throughput(rows, "dataset_id", "status", "began", "finished_at", "request_frames")
+    return out.withColumns({"busy_seconds": F.round("busy_seconds", 3), "rows_per_second": F.round("rows_per_second", 6)})
+
+
 @query
 def source_inventory(spark, folder):
     """Files and bytes of the folder by extension; from the listing, so no SQL can check it."""

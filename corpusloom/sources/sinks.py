@@ -86,6 +86,12 @@ def _measures(df: DataFrame) -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(content).cast("decimal(38,0)")).alias("low"), F.sum(F.xxhash64(F.lit("second"), content).cast("decimal(38,0)")).alias("high")]
 
 
+def pin(df: DataFrame, key: str) -> dict:
+    """What names a table's content in plans that depend on it: rows, schema and an order-free fingerprint of its ids."""
+    found = df.select(key).agg(*_measures(df.select(key))).first()
+    return {"key": key, "rows": found["n"], "schema_sha256": schema_digest(df.schema), "ids": f"{found['low'] or 0}:{found['high'] or 0}"}
+
+
 def next_version(spark: SparkSession, base: str) -> int:
     fs, p = hadoop_path(spark, base)
     if not fs.exists(p):
@@ -127,5 +133,3 @@ def uncommitted(spark: SparkSession, root: str) -> list[str]:
     """Staged folders that no publication has finished; a driver-side listing."""
     fs, p = hadoop_path(spark, f"{root}/_stage")
     return sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.exists(p) else []
-
-

@@ -298,3 +298,54 @@ def test_streams(spark, tmp_path):
     log = spark.createDataFrame([("a", "ok"), ("a", "failed"), ("b", "failed"), ("b", None)], "k string, status string")
     assert rows(st.unfinished(log, "k")) == [("b", 2)]
     assert rows(st.missing_from(log.select("k").distinct(), log.where("status = 'ok'"), "k")) == [("b",)]
+
+
+def test_selection_is_published_as_a_whole(spark, tmp_path):
+    from corpusloom.plans import publication
+    from corpusloom.plans import selection as plan
+    from corpusloom.plans.rules import Rules
+
+    rules = Rules(reason_priority=[1001, 3001, 3002], duration=(1.0, 30.0))
+    data = [(f"s{k}", "d", "h" * 63 + str(k // 2), "text", "en", 2.0 if k else 0.5, "{}", 24000) for k in range(6)]
+    base_rows = spark.createDataFrame(data, "sample_id string, dataset_id string, audio_sha256 string, text string, language string, duration_seconds double, metadata_json string, sample_rate int")
+    selected, pinned = plan.select(base_rows, rules), sinks.pin(base_rows, "sample_id")
+    first = publication.publish_selection(selected, str(tmp_path), "x", rules, pinned)
+    again = publication.publish_selection(selected, str(tmp_path), "x", rules, pinned)
+    assert first["parts"]["decisions"]["fingerprint"] == again["parts"]["decisions"]["fingerprint"] and again["parts"]["decisions"]["version"] == 2
+    assert again["coverage"] == {"d": {"rows": 6, "selected": 3, "seconds": 6.0}} and sinks.pin(base_rows.repartition(5), "sample_id") == pinned
+    opened = publication.open_selection(spark, str(tmp_path), "x")
+    assert set(opened) == set(publication.PARTS) and opened["duplicates"].read(spark).count() == 6 and opened["exclusions"].read(spark).count() == 0
+    with pytest.raises(ValueError):
+        publication.publish_selection(selected, str(tmp_path), "x", rules, {**pinned, "rows": 7})
+
+
+def test_exclusions_hold_for_their_text(spark):
+    from corpusloom.functions.digests import digest
+    from corpusloom.plans import selection as plan
+
+    base_rows = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", None)], "sample_id string, text string")
+    revision = lambda t: digest(["selected-text-v1", t, "strip"])
+    schema = "sample_id string, reason int, text_revision string"
+    listed = spark.createDataFrame([("a", 105, None), ("a", 1002, revision("x")), ("c", 105, None), ("zz", 105, revision("q"))], schema)
+    got = {r.sample_id: sorted(r.exclusion_reasons) for r in plan.with_exclusions(base_rows, listed).collect()}
+    assert got == {"a": [105, 1002], "b": [], "c": [105]}
+    for stale in ([("a", 105, revision("other"))], [("a", 105, revision("x")), ("a", 1002, revision("other"))]):
+        with pytest.raises(Exception, match="another text"):
+            plan.with_exclusions(base_rows, spark.createDataFrame(stale, schema)).collect()
+
+
+def test_batches_runs_and_styles(spark):
+    files_ = spark.createDataFrame([("c", f"p{k}", n) for k, n in enumerate([5, 5, 1, 20, 3, None])] + [("d", "q", 1)], "config string, path string, n int")
+    assert rows(win.byte_batches(files_, "config", "path", "n", 10).select("config", "path", "batch_no")) == [("c", "p0", 0), ("c", "p1", 0), ("c", "p2", 1), ("c", "p3", 2), ("c", "p4", 3), ("c", "p5", 3), ("d", "q", 0)]
+    from corpusloom.functions import digests, frames, paths
+
+    runs = [("20260102T030405-x", "2026-01-02T03:04:06+08:00", None), ("20260102T030405", "2026-01-02T03:04:04+08:00", "finished_before_start"), ("20260102T030405", "2026-01-01T20:04:06Z", "other_offset"), ("run", "2026-01-02T03:04:06+08:00", "unreadable_run_id"), ("20260102T030405", "2026-01-02", "unreadable_time"), (None, None, "unreadable_run_id")]
+    assert [r[0] for r in spark.createDataFrame(runs, "a string, b string, c string").select(frames.run_problem(F.col("a"), F.col("b"))).collect()] == [r[2] for r in runs]
+    styles = [("ears", "audio/ears/p001/emo_anger_freeform.wav", "emotion: anger"), ("ears", "audio/ears/p001/rainbow_01_whisper.wav", "whisper"), ("expresso", "audio/expresso/read/ex01/happy/base/a.wav", "happy"), ("expresso", "audio/expresso/conversational/ex01-ex02/laughing/a.wav", "laughing"), ("l2", "a/b/c.wav", None), (None, None, None)]
+    assert [r[0] for r in spark.createDataFrame(styles, "a string, b string, c string").select(paths.recording_style(F.col("a"), F.col("b"))).collect()] == [r[2] for r in styles]
+    import hashlib
+
+    (r,) = spark.createDataFrame([("happy", 'say "hi"\n', None)], "a string, b string, c string").select(digests.generation_unit(F.col("a"), F.col("b")).alias("k"), digests.generation_unit(F.col("a"), F.col("c")).alias("n")).collect()
+    assert r.k == hashlib.sha256(json.dumps(["happy", 'say "hi"\n'], ensure_ascii=False).encode()).hexdigest() and r.n == hashlib.sha256(b'["happy", null]').hexdigest()
+    terms = spark.createDataFrame([("a C++ voice", True), ("aCb", False), (None, False), ("voice.", False), ("x.y", True), ("xzy", False)], "t string, w boolean")
+    assert all(r[0] == r[1] for r in terms.select(paths.mentions(F.col("t"), ["C++", "x.y"]), "w").collect())
