@@ -83,7 +83,7 @@ def test_rotation_takes_every_row(spark):
     numbers = spark.createDataFrame([("a", n) for n in (30, 4, 17, 8)], "s string, n int")
     assert rows(win.interleaved(numbers, "s", "n")) == [("a", 17, 3), ("a", 30, 4), ("a", 4, 1), ("a", 8, 2)]
     folder = "/root/testdata/sf0.001"
-    every = queries.QUERIES["source_rotation_all"](spark, folder)
+    every = queries.QUERIES["source_rotation"](spark, folder)
     assert every.count() == spark.read.parquet(f"{folder}/selection.parquet").select("sample_id").distinct().count() > 42
 
 
