@@ -212,8 +212,8 @@ def field_limits(found: DataFrame) -> DataFrame:
 
     A limit is a length at which at least PILE texts stand, and PILE_SHARE of all texts that
     are up to NEAR units, or from a hundred units on up to NEAR percent, shorter or longer.  A
-    source may have several, and longer texts beside them.  Only the distinct lengths of a
-    source are ordered.
+    source may have several, and longer texts beside them; one of up to NEAR units can't be
+    told from short texts.  Only the distinct lengths of a source are ordered.
     """
     stacked = found.select("dataset_id", F.expr(f"stack({len(MEASURES)}, {', '.join(f'{chr(39)}{m}{chr(39)}, {m}' for m in MEASURES)}) as (measure, size)"))
     sizes = stacked.groupBy("dataset_id", "measure", "size").agg(F.count(F.lit(1)).alias("n"))
@@ -226,7 +226,7 @@ def field_limits(found: DataFrame) -> DataFrame:
         slack = F.when(F.col("measure") == m, below).otherwise(slack)
     sizes = sizes.withColumns({"scaled": scaled, "slack": slack})
     sizes = sizes.withColumns({"at": at, "near": F.sum("n").over(of.orderBy("scaled").rangeBetween(-100 * NEAR, 100 * NEAR))})
-    limits = sizes.where((F.col("at") >= PILE) & (F.col("at") >= PILE_SHARE * F.col("near")))
+    limits = sizes.where((F.col("size") > NEAR) & (F.col("at") >= PILE) & (F.col("at") >= PILE_SHARE * F.col("near")))
     return limits.select("dataset_id", "measure", F.explode(F.sequence(F.col("size") - F.col("slack"), F.col("size"))).alias("size")).distinct()
 
 
