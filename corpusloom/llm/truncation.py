@@ -114,7 +114,8 @@ def count_words(texts: list[str]) -> dict[tuple[str, str], list[int]]:
         one = int(any(mark in low for mark in _FINAL))
         for before, word, end in words(low):
             rest = low[end : end + 1]
-            if rest and rest not in _UNKNOWN:  # nor is anything known about what follows the end of the text
+            # nor is anything known about what follows the end of the text, or three dots, which may stand for a cut
+            if rest and rest not in _UNKNOWN and not low.startswith("...", end):
                 ends = rest in _FINAL
                 found.setdefault(("", word), [0, 0])[ends] += one
                 if before:

@@ -182,6 +182,11 @@ def test_a_word_is_unknown_after_the_word_before_it(spark):
     assert got == {"a": False, "b": True, "c": False}
 
 
+def test_dots_tell_nothing_of_a_word():
+    found = truncation.count_words(["They sang for the choi... And for the choir. They sang on."])
+    assert ("", "choi") not in found and found["", "choir"] == [0, 1] and found["", "sang"] == [2, 0]
+
+
 def test_last_words_are_whole():
     long = "wordstart" + "q" * 200
     assert truncation.last_words(f"So they said {long}") == (("", long), ("said", long))
