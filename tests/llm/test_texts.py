@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import script_of
 from corpusloom.llm import languages, leakage, repetition, survivors, truncation
 
 SAMPLES = {
@@ -317,6 +318,21 @@ def test_overlaps(spark):
     assert leakage.Leaks(df.limit(0)).pairs().collect() == []
 
 
+def test_dense_lines_of_any_block(spark):
+    """Lines of zh, ja and ko count from 60 characters on in whatever block they are written, with digits and foreign names among them."""
+    rng = random.Random(11)
+    some = lambda first, last, n=80: "".join(chr(rng.randint(first, last)) for _ in range(n))
+    near = [some(0x4E00, 0x9FFF), some(0x20000, 0x2A6DF), some(0x30000, 0x3134A), "".join(rng.choices("﨎﨏﨑﨓﨔﨟﨡﨣﨤﨧﨨﨩", k=80)), some(0x1100, 0x1112), some(0x31F0, 0x31FF), some(0x1B002, 0x1B11E), some(0x4E00, 0x9FFF, 60)]
+    near += ["".join(f"{some(0x4E00, 0x9FFF, 1)}{rng.randint(10, 99)}" for _ in range(30)), " ".join(f"{some(0x4E00, 0x9FFF, 2)} tom" for _ in range(20)), some(97, 122, 160)]
+    far = [some(97, 122, 159), some(0x400, 0x42F, 159), some(0x4E00, 0x9FFF, 59), some(48, 57, 150), some(97, 122, 140) + some(0x4E00, 0x9FFF, 8)]
+    data = [(f"{side}{k}", "d", f'{{"original_split": "{side}"}}', text, None) for k, text in enumerate(near + far) for side in ("train", "test")]
+    df = spark.createDataFrame(data, "sample_id string, dataset_id string, metadata_json string, text string, audio_sha256 string")
+    assert {(r.t_sample, r.e_sample) for r in leakage.Leaks(df).pairs().collect()} == {(f"train{k}", f"test{k}") for k in range(len(near))}
+    letters = {c for k in range(0x110000) if not 0xD800 <= k < 0xE000 for c in leakage.reduced(chr(k)) if c.isalpha()}
+    assert [c for c in letters if script_of(c) in ("han", "kana", "hangul") and not leakage._DENSE.match(c)] == []
+    assert not any(leakage._DENSE.match(c) for c in letters if script_of(c) in ("latin", "CYRILLIC", "GREEK", "ARABIC", "THAI", "TANGUT", "YI", "NUSHU", "KHITAN"))
+
+
 def test_counts_equal_the_expanded_pairs(spark):
     """Hot hashes, hot lines, both together, and a sample that states both sides."""
     rng = random.Random(6)
